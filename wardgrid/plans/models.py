@@ -92,8 +92,13 @@ def air_by_district(stations: DataFrame, districts: DataFrame, params: Parameter
         "fecha", "estacion_id", "estacion_nombre", "pm25_promedio_24h", "fuente",
         F.col("latitud").alias("_lat"), F.col("longitud").alias("_lon"),
     )
+    # of stations at one position only the first by id can be nearest
+    per_position = nearest_per_key(
+        reliable, ["fecha", "_lat", "_lon"], ["estacion_id"],
+        ["estacion_id", "estacion_nombre", "pm25_promedio_24h", "fuente"],
+    )
     pairs = radius_pairs(
-        reliable,
+        per_position,
         districts.select("ubigeo", "latitud", "longitud"),
         params.station_radius_km,
         point_position=("_lat", "_lon"),

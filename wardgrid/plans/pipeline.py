@@ -33,14 +33,14 @@ from .checks import declared_checks
 from .models import Models, build_models
 
 VISITS, AIR, REPORTS = "atenciones", "calidad_aire", "reporte"
-DAY_IN_NAME = r"_([0-9]{4}-[0-9]{2}-[0-9]{2})\.[A-Za-z]+$"
+DAY_IN_PATH = r"(?:_|/fecha=)([0-9]{4}-[0-9]{2}-[0-9]{2})(?:\.[A-Za-z]+$|/)"
 STAGED_COLUMNS = (*VISIT_COLUMNS, "_numero_fila")
 QUARANTINE_COLUMNS = (*STAGED_COLUMNS, "motivo_rechazo")
 
 
 def day_of_file(path: Column) -> Column:
-    """Day written at the end of a file name, e.g. ``atenciones_2026-10-07.csv``."""
-    return F.regexp_extract(path, DAY_IN_NAME, 1).try_cast("date")
+    """Day in a file's name or folder: ``atenciones_2026-10-07.csv``, ``fecha=2026-10-07/a.csv``."""
+    return F.regexp_extract(path, DAY_IN_PATH, 1).try_cast("date")
 
 
 def stage_visits(
@@ -53,7 +53,7 @@ def stage_visits(
 ) -> DataFrame:
     """Scan, validate and write the staged and quarantine layers; then apply the gate.
 
-    The day of a file comes from its name, or from ``day`` for a single one. The
+    The day of a file comes from its path, or from ``day`` for a single one. The
     layers are written before the gate raises, so rejected rows can be inspected.
     Returns one summary row per day (``fecha``). With ``strict=False`` unreadable
     files and days over the limit are left to the caller.
@@ -64,7 +64,7 @@ def stage_visits(
     expected = F.lit(day) if day is not None else day_of_file(F.col("path"))
     files = scan.files.where("error is null").select("path", expected.alias(DAY_FOLDER))
     if not files.where(F.col(DAY_FOLDER).isNull()).isEmpty():
-        raise StructureError("a file name carries no day")
+        raise StructureError("a file path carries no day")
     records = scan.records.withColumn(DAY_FOLDER, expected).withColumnRenamed("record_number", "_numero_fila")
     # parsed and checked once; both layers and the summary read the written rows
     checked = write_through(check_rows(records, visit_rules(F.col(DAY_FOLDER))), "checked")

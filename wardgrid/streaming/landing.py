@@ -31,7 +31,7 @@ def landed_files(spark: SparkSession, folder: str, files_per_batch: int = 1000)
     return (
         spark.readStream.format("binaryFile")
         .schema(_FILE)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.{csv,txt}")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")
