@@ -9,10 +9,12 @@ from pyspark.sql import Column, functions as F
 
 from .text import ascii_digits, col, strip
 
-_DAY = "3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9]"
+# free digits may be of any script, as in the file's count column
+_DAY = r"3[01]|[12]\p{Nd}|0[1-9]|[1-9]| [1-9]"
 _MONTH = "1[0-2]|0[1-9]|[1-9]"
-_ISO_SHAPE = f"^([0-9]{{4}})-({_MONTH})-({_DAY})$"
-_DAY_FIRST_SHAPE = f"^({_DAY})([/-])({_MONTH})\\2([0-9]{{4}})$"
+_YEAR = r"\p{Nd}{4}"
+_ISO_SHAPE = f"^({_YEAR})-({_MONTH})-({_DAY})$"
+_DAY_FIRST_SHAPE = f"^({_DAY})([/-])({_MONTH})\\2({_YEAR})$"
 
 
 def parse_day(value: Column | str) -> Column:
@@ -21,10 +23,11 @@ def parse_day(value: Column | str) -> Column:
     Padded and unpadded parts are accepted, two-digit years and impossible days
     are not. One cast does the calendar check for all three shapes.
     """
-    text = ascii_digits(strip(value))
+    text = strip(value)
     iso = F.when(text.rlike(_ISO_SHAPE), F.replace(text, F.lit("- "), F.lit("-"))).when(
         text.rlike(_DAY_FIRST_SHAPE), F.regexp_replace(text, _DAY_FIRST_SHAPE, "$4-$3-$1")
     )
+    iso = ascii_digits(iso)
     return F.when(~iso.startswith("0000"), iso.try_cast("date"))
 
 

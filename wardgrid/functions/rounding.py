@@ -25,11 +25,13 @@ def round_binary(value: Column | str, digits: int) -> Column:
     low = value - high
     side = (high * (2 * scale) - (below * 2 + 1)) + low * (2 * scale)
     nearest = F.when(side < 0, below).when(side > 0, below + 1).otherwise(F.rint((below + 0.5)))
-    return F.when(F.abs(value) >= 2.0**43, value).otherwise(nearest / scale)
+    rounded = F.when((value < 0) & (nearest == 0), F.lit(-0.0)).otherwise(nearest / scale)
+    return F.when(F.abs(value) >= 2.0**43, value).otherwise(rounded)
 
 
 def ratio_half_up(numerator: Column, denominator: Column, digits: int) -> Column:
     """Exact integer ratio rounded half away from zero; denominator must be > 0."""
     doubled = F.abs(numerator) * F.lit(2 * 10**digits) + denominator
     steps = F.call_function("div", doubled, denominator * 2)
-    return F.signum(numerator) * steps / F.lit(float(10**digits))
+    size = steps / F.lit(float(10**digits))
+    return F.when((numerator < 0) & (size > 0), -size).otherwise(size)

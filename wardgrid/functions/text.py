@@ -34,6 +34,12 @@ def normalize_text(value: Column | str) -> Column:
     return F.regexp_replace(folded, r"\s+", " ")
 
 
+def text_map(entries: dict[str, str]) -> Column:
+    """Constant text-to-text map; one literal instead of one per key and value."""
+    joined = "\x1e".join(f"{k}\x1f{v}" for k, v in entries.items())
+    return F.str_to_map(F.lit(joined), F.lit("\x1e"), F.lit("\x1f"))
+
+
 @cache
 def _decimal_digits() -> tuple[str, str]:
     """Every non-ASCII decimal digit and its ASCII counterpart, by Unicode rule."""
@@ -73,7 +79,7 @@ def to_ascii(value: Column | str) -> Column:
     source, target, longer = _compatibility_letters()
     value = col(value)
     folded = F.translate(value, source, target)
-    expansions = F.create_map(*(F.lit(x) for pair in longer.items() for x in pair))
+    expansions = text_map(longer)
     has_expansion = folded.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in longer) + "]")
     expanded = F.when(
         has_expansion,
@@ -93,8 +99,6 @@ def normalize_header(value: Column | str) -> Column:
 
 def canonical_header(value: Column | str, synonyms: dict[str, str] | None = None) -> Column:
     """Normalise a header and resolve it through the synonym dictionary."""
-    lookup = F.create_map(
-        *(F.lit(x) for pair in (synonyms or HEADER_SYNONYMS).items() for x in pair)
-    )
+    lookup = text_map(HEADER_SYNONYMS if synonyms is None else synonyms)
     name = normalize_header(value)
     return F.coalesce(F.try_element_at(lookup, name), name)

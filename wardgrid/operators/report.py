@@ -18,6 +18,7 @@ from ..fixed_values import (
     REPORT_TITLE,
 )
 from ..functions.rounding import round_binary
+from ..functions.text import text_map
 
 
 def severity() -> Column:
@@ -73,9 +74,7 @@ def _or_dash(value: Column, text: Column) -> Column:
 
 def _table_row() -> Column:
     label = F.coalesce(
-        F.try_element_at(
-            F.create_map(*(F.lit(x) for pair in CATEGORY_LABELS.items() for x in pair)), F.col("categoria_aire")
-        ),
+        F.try_element_at(text_map(CATEGORY_LABELS), F.col("categoria_aire")),
         F.col("categoria_aire"),
         F.lit("None"),
     )

@@ -128,17 +128,18 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _census(lines: DataFrame) -> DataFrame:
     """One row per (file, block)."""
     raw, valid = F.col("raw"), F.is_valid_utf8("raw")
+    # text functions need valid text; Latin-1 keeps all marks of other encodings in place
+    text = F.when(valid, raw).otherwise(F.decode(raw.cast("binary"), "ISO-8859-1"))
     not_ascii = ~valid | (F.octet_length(raw) != F.length(raw))
     quoted = raw.contains('"')
-    bare = F.rtrim(raw, F.lit("\r"))
     flags = [
         valid.alias("utf8"),
         F.when(not_ascii, F.decode(raw.cast("binary"), "ISO-8859-1").rlike(_UNASSIGNED))
         .otherwise(False).alias("unassigned"),
-        (F.btrim(raw, F.lit(_ASCII_BLANKS)) != "").alias("filled"),
-        (bare.contains("\r") & ~quoted).alias("loose_return"),
+        (F.btrim(text, F.lit(_ASCII_BLANKS)) != "").alias("filled"),
+        (raw.contains("\r") & ~quoted & F.rtrim(text, F.lit("\r")).contains("\r")).alias("loose_return"),
         *(
-            F.when(quoted, _ends_inside_quotes(raw, F.lit(s))).otherwise(False).alias(f"open_{i}")
+            F.when(quoted, _ends_inside_quotes(text, F.lit(s))).otherwise(False).alias(f"open_{i}")
             for i, s in enumerate(SEPARATORS)
         ),
     ]
@@ -364,7 +365,8 @@ def scan_delimited(
     numbered = (
         lines.join(blocks, ["path", "block"])
         .withColumn("line_number", F.col("rows_before") + F.col("seq") - F.col("first_seq") + 1)
-        .withColumn("text", _decoded(F.col("raw")))
+        # a generator keeps Spark from copying the decoding into every later expression
+        .select("*", F.explode(F.array(_decoded(F.col("raw")))).alias("text"))
     )
     records = _fields(
         numbered.where(~F.col("crosses")).withColumnRenamed("line_number", "record_number"), columns
@@ -382,7 +384,7 @@ def scan_delimited(
         .join(heads, "path", "left").join(late, "path", "left")
         .withColumnRenamed("late_error", "error")
     )
-    crossing = write_through(_with_header(crossing, columns, synonyms), "crossing")
+    crossing = _with_header(crossing, columns, synonyms)
     files = files.where("not crosses").select(*_FILE_COLUMNS).unionByName(crossing.select(*_FILE_COLUMNS))
     layout = crossing.where("error is null").select("path", "separator", *_positions(columns))
     records = records.unionByName(_fields(stitched.join(layout, "path"), columns))

@@ -62,9 +62,10 @@ def replace_partition(df: DataFrame, table: str, column: str, day: dt.date | str
         checked_name(name)
     day = str(day)
     folder = f"{table.rstrip('/')}/{column}={day}"
+    stray = f"row outside {column}={day}"
     if column in df.columns:
         foreign = ~F.col(column).cast("string").eqNullSafe(day)
-        guard = F.when(foreign, F.raise_error(F.lit(f"row outside {day}"))).otherwise(F.lit(day).cast("date"))
+        guard = F.when(foreign, F.raise_error(F.lit(stray))).otherwise(F.lit(day).cast("date"))
         guarded = df.withColumn(column, guard)
     else:
         guarded = df.withColumn(column, F.lit(day).cast("date"))
@@ -78,7 +79,7 @@ def replace_partition(df: DataFrame, table: str, column: str, day: dt.date | str
             .parquet(table)
         )
     except Exception as error:
-        if "USER_RAISED_EXCEPTION" not in str(error):
+        if stray not in str(error):
             raise
         strays = df.where(foreign).count()
         raise PartitionError(f"{strays} rows do not belong to {day}; nothing was replaced") from None

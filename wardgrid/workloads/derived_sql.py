@@ -124,8 +124,8 @@ def trailing(source: str, target: str, key: str, value: str, category: str | Non
 {target} AS (
   SELECT * EXCLUDE (s7, n7),
          CASE WHEN n7 > 0 THEN CAST((s7 * 20 + n7) // (2 * n7) AS DOUBLE) / 10 END AS promedio_atenciones_7d_previos,
-         CASE WHEN s7 > 0 THEN sign({value} * n7 - s7) *
-           CAST((abs({value} * n7 - s7) * 2000 + s7) // (2 * s7) AS DOUBLE) / 10 END AS variacion_vs_7d_pct,
+         CASE WHEN s7 > 0 THEN CAST(sign({value} * n7 - s7) AS BIGINT) *
+           ((abs({value} * n7 - s7) * 2000 + s7) // (2 * s7)) / 10.0::DOUBLE END AS variacion_vs_7d_pct,
          {alert} AS alerta_salud_publica
   FROM (SELECT *,
           CAST(sum({value}) OVER w AS BIGINT) AS s7,
