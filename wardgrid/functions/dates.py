@@ -9,12 +9,13 @@ from pyspark.sql import Column, functions as F
 
 from .text import ascii_digits, col, strip
 
-# free digits may be of any script, as in the file's count column
+# digits that are not fixed by the calendar may be of any script
 _DAY = r"3[01]|[12]\p{Nd}|0[1-9]|[1-9]| [1-9]"
 _MONTH = "1[0-2]|0[1-9]|[1-9]"
 _YEAR = r"\p{Nd}{4}"
-_ISO_SHAPE = f"^({_YEAR})-({_MONTH})-({_DAY})$"
 _DAY_FIRST_SHAPE = f"^({_DAY})([/-])({_MONTH})\\2({_YEAR})$"
+_ISO_SHAPE = f"^({_YEAR}-(?:{_MONTH})-(?:{_DAY}))$"
+_ASCII_ISO_SHAPE = f"^((?!0000)[0-9]{{4}}-(?:{_MONTH})-[0-9]{{1,2}})$"
 
 
 def parse_day(value: Column | str) -> Column:
@@ -23,12 +24,13 @@ def parse_day(value: Column | str) -> Column:
     Padded and unpadded parts are accepted, two-digit years and impossible days
     are not. One cast does the calendar check for all three shapes.
     """
-    text = strip(value)
-    iso = F.when(text.rlike(_ISO_SHAPE), F.replace(text, F.lit("- "), F.lit("-"))).when(
-        text.rlike(_DAY_FIRST_SHAPE), F.regexp_replace(text, _DAY_FIRST_SHAPE, "$4-$3-$1")
-    )
-    iso = ascii_digits(iso)
-    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
+    # a chain in which each step is used once, because Spark evaluates a step as
+    # often as it is named; only an empty extract casts to null
+    year_first = F.regexp_replace(strip(value), _DAY_FIRST_SHAPE, "$4-$3-$1")
+    usual = F.regexp_extract(year_first, _ASCII_ISO_SHAPE, 1).try_cast("date")
+    unusual = ascii_digits(F.replace(F.regexp_extract(year_first, _ISO_SHAPE, 1), F.lit("- "), F.lit("-")))
+    odd = col(value).rlike(r"[^\x00-\x7F]|- ")
+    return F.coalesce(usual, F.when(odd & ~unusual.startswith("0000"), unusual.try_cast("date")))
 
 
 def business_day(instant: Column | str, zone: str, explicit: Column | str | None = None) -> Column:

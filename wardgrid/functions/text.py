@@ -12,7 +12,6 @@ from ..fixed_values import ACCENTED, HEADER_SYNONYMS, UNACCENTED
 
 # Characters a Unicode-aware strip removes (SQL trim only removes spaces).
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-_WHITESPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
 
 
 def col(value: Column | str) -> Column:
@@ -25,7 +24,7 @@ def strip(value: Column | str) -> Column:
 
 
 def drop_whitespace(value: Column | str) -> Column:
-    return F.regexp_replace(col(value), _WHITESPACE_RUN, "")
+    return F.translate(col(value), WHITESPACE, "")
 
 
 def normalize_text(value: Column | str) -> Column:
@@ -80,7 +79,7 @@ def to_ascii(value: Column | str) -> Column:
     value = col(value)
     folded = F.translate(value, source, target)
     expansions = text_map(longer)
-    has_expansion = folded.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in longer) + "]")
+    has_expansion = F.length(F.translate(value, "".join(longer), "")) < F.length(value)
     expanded = F.when(
         has_expansion,
         F.array_join(

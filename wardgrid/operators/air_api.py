@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import QualityGateError
 from ..fixed_values import POLLUTANT
+from ..functions.once import filter_computed
 from ..functions.rounding import round_binary
 
 
@@ -21,7 +22,7 @@ def active_sensors(locations: DataFrame, day: Column) -> DataFrame:
     """
     last_seen = _date_part(F.col("datetimeLast.utc"))
     usable = locations.where(
-        ~F.coalesce("isMobile", F.lit(False)) & (last_seen != "") & (last_seen >= F.date_format(day, "yyyy-MM-dd"))
+        ~F.coalesce("isMobile", F.lit(False)) & (last_seen != "") & (last_seen >= day.cast("date").cast("string"))
     )
     station = usable.select(
         F.col("id").cast("string").alias("estacion_id"),
@@ -49,12 +50,11 @@ def daily_readings(pages: DataFrame, day: Column, items: str = "results", source
     ``schemas.API_DAY_ITEM``. The first item of that local day decides: when its
     value is null the sensor has no reading, even if a later item matches.
     """
-    wanted = F.date_format(day, "yyyy-MM-dd")
+    wanted = day.cast("date").cast("string")
     same_day = F.filter(items, lambda i: _date_part(i["period"]["datetimeFrom"]["local"]) == wanted)
     item = F.get(same_day, F.lit(0))
     return (
-        pages.withColumn("_item", item)
-        .where(F.col("_item.value").isNotNull())
+        filter_computed(pages.withColumn("_item", item), F.col("_item.value").isNotNull())
         .select(
             day.cast("date").alias("fecha"),
             "estacion_id",

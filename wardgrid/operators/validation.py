@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..errors import QualityGateError
 from ..fixed_values import AGE_GROUPS, VISIT_COLUMNS
 from ..functions.dates import parse_day
+from ..functions.once import filter_computed
 from ..functions.text import ascii_digits, drop_whitespace, strip
 
 REASONS = "_motivos"
@@ -19,60 +21,68 @@ COUNT_SHAPE = r"^\p{Nd}+(\.0+)?$"
 
 @dataclass(frozen=True)
 class FieldRule:
-    """How one column is cleaned, and the reasons (null when satisfied) it can fail for."""
+    """How one column is cleaned, and what is wrong with it.
+
+    ``reasons`` is given the cleaned column, which is computed once per row, and
+    returns texts that are null when the rule is satisfied.
+    """
 
     column: str
     clean: Column
-    reasons: tuple[Column, ...]
+    reasons: Callable[[Column], list[Column]]
 
 
 def _quote(text: Column) -> Column:
     return F.concat(F.lit("'"), F.coalesce(text, F.lit("None")), F.lit("'"))
 
 
+def _given(column: str) -> Column:
+    """The raw value, a missing one read as empty."""
+    return F.coalesce(F.col(column), F.lit(""))
+
+
 def parse_count(value: Column | str) -> Column:
     """Whole non-negative count, '12' or '12.0'; null otherwise."""
     text = strip(value)
     number = ascii_digits(text).try_cast("double").try_cast("bigint")
-    return F.when(text.rlike(COUNT_SHAPE), number)
+    # up to 15 plain digits need no detour over a double
+    return F.when(text.rlike("^[0-9]{1,15}$"), text.try_cast("bigint")).when(text.rlike(COUNT_SHAPE), number)
 
 
 def day_rule(column: str, expected: Column) -> FieldRule:
-    text = strip(F.coalesce(column, F.lit("")))
-    day = parse_day(text)
-    other = F.concat(F.lit("fecha "), day.cast("string"), F.lit(" distinta al dia procesado"))
-    return FieldRule(
-        column,
-        day,
-        (
-            F.when(day.isNull(), F.concat(F.lit("fecha invalida "), _quote(text))),
-            F.when(~day.eqNullSafe(expected) & day.isNotNull(), other),
-        ),
-    )
+    def reasons(day: Column) -> list[Column]:
+        other = F.concat(F.lit("fecha "), day.cast("string"), F.lit(" distinta al dia procesado"))
+        return [
+            F.when(day.isNull(), F.concat(F.lit("fecha invalida "), _quote(strip(_given(column))))),
+            F.when(day.isNotNull() & ~day.eqNullSafe(expected), other),
+        ]
+
+    return FieldRule(column, parse_day(_given(column)), reasons)
 
 
 def filled_rule(column: str) -> FieldRule:
-    text = strip(F.coalesce(column, F.lit("")))
-    return FieldRule(column, text, (F.when(text == "", F.lit(f"{column} vacio")),))
+    return FieldRule(column, strip(_given(column)), lambda text: [F.when(text == "", F.lit(f"{column} vacio"))])
 
 
 def domain_rule(column: str, domain: tuple[str, ...]) -> FieldRule:
-    text = drop_whitespace(F.coalesce(column, F.lit("")))
     reason = F.concat(F.lit(f"{column} invalido "), _quote(F.col(column)))
-    return FieldRule(column, text, (F.when(~text.isin(*domain), reason),))
+    return FieldRule(
+        column, drop_whitespace(_given(column)), lambda text: [F.when(~text.isin(*domain), reason)]
+    )
 
 
 def diagnosis_rule(column: str) -> FieldRule:
-    code = F.upper(strip(F.coalesce(column, F.lit(""))))
-    reason = F.concat(F.lit(f"{column} no respiratorio o invalido "), _quote(code))
-    return FieldRule(column, code, (F.when(~code.rlike(DIAGNOSIS_SHAPE), reason),))
+    label = F.lit(f"{column} no respiratorio o invalido ")
+    return FieldRule(
+        column,
+        F.upper(strip(_given(column))),
+        lambda code: [F.when(~code.rlike(DIAGNOSIS_SHAPE), F.concat(label, _quote(code)))],
+    )
 
 
 def count_rule(column: str) -> FieldRule:
-    text = strip(F.coalesce(column, F.lit("")))
-    count = parse_count(text)
-    reason = F.concat(F.lit(f"{column} invalido "), _quote(text))
-    return FieldRule(column, count, (F.when(count.isNull(), reason),))
+    reason = F.concat(F.lit(f"{column} invalido "), _quote(strip(_given(column))))
+    return FieldRule(column, parse_count(_given(column)), lambda count: [F.when(count.isNull(), reason)])
 
 
 def visit_rules(expected_day: Column) -> list[FieldRule]:
@@ -90,20 +100,20 @@ def visit_rules(expected_day: Column) -> list[FieldRule]:
 
 def check_rows(df: DataFrame, rules: list[FieldRule]) -> DataFrame:
     """Keep the raw columns and add ``_motivos`` (array) and ``_limpio`` (struct)."""
-    reasons = F.array_compact(F.array(*(r for rule in rules for r in rule.reasons)))
-    clean = F.struct(*(rule.clean.alias(rule.column) for rule in rules))
-    return df.withColumns({REASONS: reasons, _CLEAN: clean})
+    cleaned = df.withColumn(_CLEAN, F.struct(*(rule.clean.alias(rule.column) for rule in rules)))
+    found = [r for rule in rules for r in rule.reasons(F.col(f"{_CLEAN}.{rule.column}"))]
+    return cleaned.withColumn(REASONS, F.array_compact(F.array(*found)))
 
 
 def valid_rows(checked: DataFrame, columns: tuple[str, ...] = VISIT_COLUMNS) -> DataFrame:
     """Rows without reasons, with cleaned values in place of the raw ones."""
-    kept = checked.where(F.size(REASONS) == 0)
+    kept = filter_computed(checked, F.size(REASONS) == 0)
     return kept.withColumns({c: F.col(f"{_CLEAN}.{c}") for c in columns}).drop(REASONS, _CLEAN)
 
 
 def quarantined_rows(checked: DataFrame, columns: tuple[str, ...] = VISIT_COLUMNS) -> DataFrame:
     """Rejected rows with their raw values and the joined reasons."""
-    rejected = checked.where(F.size(REASONS) > 0)
+    rejected = filter_computed(checked, F.size(REASONS) > 0)
     raw = {c: F.coalesce(F.col(c), F.lit("")) for c in columns}
     return (
         rejected.withColumns(raw).withColumn("motivo_rechazo", F.array_join(REASONS, "; ")).drop(REASONS, _CLEAN)

@@ -68,17 +68,18 @@ def stage_visits(
     records = scan.records.withColumn(DAY_FOLDER, expected).withColumnRenamed("record_number", "_numero_fila")
     # parsed and checked once; both layers and the summary read the written rows
     checked = write_through(check_rows(records, visit_rules(F.col(DAY_FOLDER))), "checked")
-    days = files.select(DAY_FOLDER).distinct()
-    for layer, rows, columns in (
-        ("staged", valid_rows(checked), STAGED_COLUMNS),
-        ("cuarentena", quarantined_rows(checked), QUARANTINE_COLUMNS),
-    ):
-        replace_days(
-            rows.select(DAY_FOLDER, *columns), layer_folder(lake, layer, VISITS), DAY_FOLDER, days, "csv", **CSV_WRITE
-        )
     counted = rejection_summary(checked, DAY_FOLDER)
+    days = files.select(DAY_FOLDER).distinct()
     numbers = [c for c in counted.columns if c != DAY_FOLDER]
     summary = write_through(days.join(counted, DAY_FOLDER, "left").fillna(0, numbers), "summary")
+    days = summary.select(DAY_FOLDER)
+    for layer, rows, columns, count in (
+        ("staged", valid_rows(checked), STAGED_COLUMNS, "validas"),
+        ("cuarentena", quarantined_rows(checked), QUARANTINE_COLUMNS, "rechazadas"),
+    ):
+        present = summary.where(F.col(count) > 0).select(DAY_FOLDER)
+        folder = layer_folder(lake, layer, VISITS)
+        replace_days(rows.select(DAY_FOLDER, *columns), folder, DAY_FOLDER, days, "csv", present, **CSV_WRITE)
     if strict:
         enforce_rejection_rate(summary, params.max_rejection_rate)
     return summary

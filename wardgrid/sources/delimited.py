@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..errors import StructureError
 from ..fixed_values import HEADER_SYNONYMS, SEPARATORS, VISIT_COLUMNS
+from ..functions.once import filter_computed
 from ..functions.text import WHITESPACE, canonical_header, strip
 from .scratch import write_through
 
@@ -327,7 +328,7 @@ def _fields(records: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     bare = F.btrim(F.replace(text, separator, F.lit("")), F.lit(WHITESPACE + '"')) == ""
     blank = bare & (~text.contains('"') | (strip(F.array_join(values, "")) == ""))
     return (
-        records.where((F.col("record_number") > 1) & ~blank)
+        filter_computed(records, (F.col("record_number") > 1) & ~blank)
         .withColumn("values", values)
         .select("path", "record_number", *(pick(F.col("values"), F.col(f"at_{c}")).alias(c) for c in columns))
     )
@@ -362,11 +363,11 @@ def scan_delimited(
         ).join(usable, "path"),
         "blocks",
     )
-    numbered = (
-        lines.join(blocks, ["path", "block"])
-        .withColumn("line_number", F.col("rows_before") + F.col("seq") - F.col("first_seq") + 1)
-        # a generator keeps Spark from copying the decoding into every later expression
-        .select("*", F.explode(F.array(_decoded(F.col("raw")))).alias("text"))
+    numbered = lines.join(blocks, ["path", "block"]).withColumns(
+        {
+            "line_number": F.col("rows_before") + F.col("seq") - F.col("first_seq") + 1,
+            "text": _decoded(F.col("raw")),
+        }
     )
     records = _fields(
         numbered.where(~F.col("crosses")).withColumnRenamed("line_number", "record_number"), columns

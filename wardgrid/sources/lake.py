@@ -10,6 +10,8 @@ from pyspark.sql.observation import Observation
 
 from ..errors import PartitionError
 from ..fixed_values import LAKE_LAYERS, RETENTION_DAYS
+from ..functions.text import text_map
+from .scratch import write_through
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*")
 DAY_FOLDER = "fecha"
@@ -90,22 +92,32 @@ def replace_partition(df: DataFrame, table: str, column: str, day: dt.date | str
 
 
 def replace_days(
-    df: DataFrame, table: str, column: str, days: DataFrame, fmt: str = "parquet", **options: str
+    df: DataFrame,
+    table: str,
+    column: str,
+    days: DataFrame,
+    fmt: str = "parquet",
+    present: DataFrame | None = None,
+    **options: str,
 ) -> None:
     """Replace many days in one write; requested days without rows are emptied.
 
     ``days`` holds the requested days in ``column``. Rows of other days abort
-    before anything is replaced. As in :func:`replace_partition`, the swap happens
-    at job commit.
+    before anything is replaced. ``present`` may name the days that have rows when
+    the caller has counted them already. As in :func:`replace_partition`, the swap
+    happens at job commit.
     """
     checked_name(column)
     requested = days.select(F.col(column).cast("date")).distinct()
-    present = df.select(F.col(column).cast("date")).distinct()
+    if present is None:
+        present = write_through(df.select(F.col(column).cast("date")).distinct(), "present-days")
     strays = present.join(requested, column, "left_anti").count()
     if strays:
         raise PartitionError(f"rows of {strays} days that were not requested; nothing was replaced")
+    # rebalancing gives each day few files and splits a day that holds most rows
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", column)
+        .write.mode("overwrite")
         .format(fmt)
         .options(**options)
         .option("partitionOverwriteMode", "dynamic")
@@ -113,7 +125,7 @@ def replace_days(
         .save(table)
     )
     blank = df.drop(column).limit(0)
-    for row in requested.join(present, column, "left_anti").toLocalIterator():  # fully rejected days only
+    for row in requested.join(present, column, "left_anti").collect():  # at most the requested days
         folder = f"{table.rstrip('/')}/{column}={row[0]}"
         blank.write.mode("overwrite").format(fmt).options(**options).save(folder)
 
@@ -146,6 +158,6 @@ def retention_expired(
 ) -> DataFrame:
     """Objects kept longer than their layer allows; other layers never expire."""
     keep = RETENTION_DAYS if keep_days is None else keep_days
-    limit = F.try_element_at(F.create_map(*(F.lit(x) for p in keep.items() for x in p)), F.col(layer))
-    expires = F.date_add(F.col(written).cast("date"), limit)
+    limit = F.try_element_at(text_map({k: str(v) for k, v in keep.items()}), F.col(layer))
+    expires = F.date_add(F.col(written).cast("date"), limit.cast("int"))
     return objects.withColumn("expira_el", expires).where(F.col("expira_el") <= as_of)
