@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from wardgrid import schemas
 from wardgrid.errors import QualityGateError
 from wardgrid.plans import pipeline
+from wardgrid.plans.models import build_models
+from wardgrid.plans.refresh import refresh_mart
+from wardgrid.sources.catalogue import district_aliases, districts
 from wardgrid.streaming.landing import ingest_landed
 
 HEADER = "Fecha Atención;Cod. Clínica;Distrito;Grupo Edad;Diagnóstico CIE10;N° Atenciones"
@@ -73,6 +77,43 @@ def test_day_by_day_to_report(spark, tmp_path):
     assert text[-1].startswith("Criterios:")
 
 
+def test_refresh_equals_a_full_build(spark, tmp_path):
+    """Days added, changed and emptied, with gaps in the calendar."""
+    rng = random.Random(5)
+    all_days = [dt.date(2026, 3, 1) + dt.timedelta(i) for i in range(40) if i % 6 != 5]
+    loaded = dt.datetime(2026, 10, 8)
+
+    def raw(seed):
+        r = random.Random(seed)
+        rows = [(d, f"C{c}", p, "0-4", "J45", r.randrange(9), c, "f", loaded)
+                for d in all_days for c in range(3) for p in ("Ate", "SJL") if r.random() < 0.8]
+        air = [(d, "s", "S", -12.0262, -76.918, "1", "pm25", "u", r.randrange(0, 90) * 1.0, 90.0, 20, "openaq", "f", loaded)
+               for d in all_days if r.random() < 0.7]
+        return rows, air
+
+    old_visits, old_air = raw(1)
+    changed = sorted(rng.sample(all_days, 6))
+    gone, absent = changed[1], changed[4]  # one loses its rows, one had none before
+    old_visits = [v for v in old_visits if v[0] != absent]
+    old_air = [a for a in old_air if a[0] != absent]
+    new_visits, new_air = raw(2)
+    mix = lambda old, new: [x for x in old if x[0] not in changed] + [
+        x for x in new if x[0] in changed and x[0] != gone]
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    names = (districts(spark), district_aliases(spark))
+    v, a = mix(old_visits, new_visits), mix(old_air, new_air)
+    fact = build_models(frame(old_visits, schemas.RAW_VISITS), frame(old_air, schemas.RAW_AIR), *names).fact
+    mart = str(tmp_path / "mart")
+    fact.write.partitionBy("fecha").parquet(mart)
+    for rows, schema, column, name in ((v, schemas.RAW_VISITS, "fecha_atencion", "v"), (a, schemas.RAW_AIR, "fecha", "a")):
+        frame(rows, schema).write.partitionBy(column).parquet(str(tmp_path / name))
+    refresh_mart(spark, str(tmp_path / "v"), str(tmp_path / "a"), mart, changed)
+    want = build_models(frame(v, schemas.RAW_VISITS), frame(a, schemas.RAW_AIR), *names).fact.drop("actualizado_en")
+    got = spark.read.schema(fact.schema).parquet(mart).select(*want.columns)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
 def test_layers_are_written_before_the_gate_stops(spark, tmp_path):
     land(tmp_path / "in", DAYS[0], [*visits(DAYS[0], 1), *visits(DAYS[0], "N/D")[:2]])
     with pytest.raises(QualityGateError, match="33.3%"):

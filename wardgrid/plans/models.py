@@ -140,7 +140,11 @@ def district_day_fact(
     calendar = calendar_of((visits, "fecha"), (air, "fecha"))
     grid = dense_grid(calendar, districts.select("ubigeo", "distrito", "zona"), "ubigeo")
     filled = fill_grid(grid, ["fecha", "ubigeo"], visits, COUNT_COLUMNS, air)
-    return indicators(filled, params).select(
+    return fact_columns(indicators(filled, params))
+
+
+def fact_columns(computed: DataFrame) -> DataFrame:
+    return computed.select(
         "fecha",
         "ubigeo",
         "distrito",

@@ -177,6 +177,8 @@ def publish_report(mart: DataFrame, lake: str, days: DataFrame, title: str = REP
     order = ("seccion", F.desc("alerta"), F.desc("gravedad"), F.desc("atenciones"), "distrito")
     lines = report_lines(wanted, title).repartition(DAY_FOLDER).sortWithinPartitions(DAY_FOLDER, *order)
     folder = layer_folder(lake, "reportes", REPORTS)
-    replace_days(lines.select(DAY_FOLDER, "linea"), f"{folder}_md", DAY_FOLDER, days, "text")
+    replace_days(
+        lines.select(DAY_FOLDER, "linea"), f"{folder}_md", DAY_FOLDER, days, "text", days, arranged=True
+    )
     rows = wanted.select(DAY_FOLDER, *REPORT_COLUMNS).repartition(DAY_FOLDER)
-    replace_days(rows, f"{folder}_csv", DAY_FOLDER, days, "csv", **CSV_WRITE)
+    replace_days(rows, f"{folder}_csv", DAY_FOLDER, days, "csv", days, arranged=True, **CSV_WRITE)

@@ -98,13 +98,15 @@ def replace_days(
     days: DataFrame,
     fmt: str = "parquet",
     present: DataFrame | None = None,
+    arranged: bool = False,
     **options: str,
 ) -> None:
     """Replace many days in one write; requested days without rows are emptied.
 
     ``days`` holds the requested days in ``column``. Rows of other days abort
     before anything is replaced. ``present`` may name the days that have rows when
-    the caller has counted them already. As in :func:`replace_partition`, the swap
+    the caller has counted them already; ``arranged`` keeps the caller's partitions
+    and order, for files whose lines have an order. As in :func:`replace_partition`, the swap
     happens at job commit.
     """
     checked_name(column)
@@ -116,7 +118,7 @@ def replace_days(
         raise PartitionError(f"rows of {strays} days that were not requested; nothing was replaced")
     # rebalancing gives each day few files and splits a day that holds most rows
     (
-        df.hint("rebalance", column)
+        (df if arranged else df.hint("rebalance", column))
         .write.mode("overwrite")
         .format(fmt)
         .options(**options)
