@@ -44,7 +44,9 @@ def staged_visits(raw: DataFrame) -> DataFrame:
         F.col("_archivo_origen").alias("archivo_origen"),
         F.col("_cargado_en").alias("cargado_en"),
     )
-    order = [F.desc("cargado_en"), F.desc("numero_fila"), F.desc("archivo_origen"), F.desc("num_atenciones")]
+    # the last two only settle ties between loads; a hash keeps long paths out of the shuffle
+    origin = F.xxhash64("archivo_origen")
+    order = [F.desc("cargado_en"), F.desc("numero_fila"), origin.desc(), F.desc("num_atenciones")]
     return keep_latest(clean, VISIT_KEY, order)
 
 

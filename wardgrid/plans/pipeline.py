@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..errors import StructureError
 from ..fixed_values import RAW_AIR_COLUMNS, RAW_VISIT_COLUMNS, REPORT_COLUMNS, REPORT_TITLE, VISIT_COLUMNS
 from ..operators.air_api import active_sensors, daily_readings, require_readings
+from ..operators.grid import calendar_of
 from ..operators.quality import store_and_enforce
 from ..operators.report import report_lines, require_days
 from ..operators.validation import (
@@ -164,7 +166,13 @@ def build_mart(
         params,
         keep_staged=True,
     )
-    models.fact.write.mode("overwrite").partitionBy("fecha").parquet(mart)
+    days = calendar_of((models.district_visits, "fecha"), (models.district_air, "fecha"))
+    try:
+        stored = spark.read.parquet(mart).select("fecha").distinct()
+    except AnalysisException:
+        stored = days  # first build
+    # days that are gone are emptied; a failing write leaves the old table in place
+    replace_days(models.fact, mart, "fecha", days.union(stored).distinct(), present=days)
     built = Models(**{**models.__dict__, "fact": spark.read.schema(models.fact.schema).parquet(mart)})
     store_and_enforce(spark, declared_checks(built, params), audit)
     return built

@@ -53,7 +53,8 @@ def multi_format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def business_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     explicit = F.when(F.col("event_id") % 10 == 0, F.lit("2024-02-29").cast("date"))
-    instant = F.col("ts").cast("timestamp")
+    # the table's times are UTC wall clocks, whatever the session's zone
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp")
     events = table(spark, sf_dir, "events")
     return events.select("event_id", business_day(instant, DEFAULTS.local_zone, explicit).alias("dia"))
 
