@@ -143,5 +143,9 @@ def test_stream_loads_new_and_resubmitted_days(spark, tmp_path):
     land(tmp_path / "in", DAYS[3], visits(DAYS[3], 7))
     assert run() == {**{d: 20 for d in DAYS[:3]}, DAYS[3]: 28}
     land(tmp_path / "in", dt.date(2026, 10, 9), visits(DAYS[3], 7))  # rows of another day
-    with pytest.raises(Exception, match="too many rejected rows on 2026-10-09"):
-        run()
+    (tmp_path / "in" / "b_2026-10-10.csv").write_bytes(b"x\ny\n")
+    land(tmp_path / "in", dt.date(2026, 10, 11), visits(dt.date(2026, 10, 11), 1))
+    with pytest.raises(Exception, match="2026-10-09: 4 of 4 rows rejected|2026-10-10: file.*no separator"):
+        ingest_landed(spark, str(tmp_path / "in"), lake, table, state).awaitTermination()
+    got = spark.read.schema(schemas.RAW_VISITS).parquet(table).where("fecha_atencion > '2026-10-08'")
+    assert {(r.fecha_atencion, r.num_atenciones) for r in got.collect()} == {(dt.date(2026, 10, 11), 1)}

@@ -15,7 +15,7 @@ from ..operators.rollups import counts_by_place_day
 from ..operators.stations import station_day
 from ..operators.trends import air_category, alert_flag, percent_change, trailing_average, with_trailing
 from ..params import DEFAULTS, Parameters
-from ..sources.scratch import write_through
+from ..sources.scratch import write_all_through
 
 VISIT_KEY = ["fecha_atencion", "codigo_clinica", "distrito_reportado", "grupo_edad", "diagnostico_cie10"]
 COUNT_COLUMNS = [
@@ -194,8 +194,12 @@ def build_models(
     """
     visits, air = staged_visits(raw_visits), staged_air(raw_air)
     if keep_staged:
-        visits, air = write_through(visits, "stg-visits"), write_through(air, "stg-air")
-    per_district = write_through(visits_by_district(visits, aliases), "district-visits")
-    air_district = write_through(air_by_district(air, districts, params), "district-air")
+        visits, air = write_all_through({"stg-visits": visits, "stg-air": air})
+    per_district, air_district = write_all_through(
+        {
+            "district-visits": visits_by_district(visits, aliases),
+            "district-air": air_by_district(air, districts, params),
+        }
+    )
     fact = district_day_fact(districts, per_district, air_district, params)
     return Models(visits, air, per_district, air_district, districts, aliases, fact)

@@ -57,29 +57,35 @@ def stage_visits(
 
     The day of a file comes from its path, or from ``day`` for a single one. The
     layers are written before the gate raises, so rejected rows can be inspected.
-    Returns one summary row per day (``fecha``). With ``strict=False`` unreadable
-    files and days over the limit are left to the caller.
+    Returns one summary row per day (``fecha``). With ``strict=False`` nothing is
+    raised: days with an unreadable file carry it in ``error`` and are not staged,
+    and days over the limit are left to the caller.
     """
     scan = scan_delimited(spark, paths)
     if strict:
         scan.require_readable()
     expected = F.lit(day) if day is not None else day_of_file(F.col("path"))
-    files = scan.files.where("error is null").select("path", expected.alias(DAY_FOLDER))
+    files = scan.files.select(expected.alias(DAY_FOLDER), "path", "error")
     if not files.where(F.col(DAY_FOLDER).isNull()).isEmpty():
         raise StructureError("a file path carries no day")
+    listed = files.groupBy(DAY_FOLDER).agg(
+        F.min(F.concat(F.col("path"), F.lit(": "), F.col("error"))).alias("error")  # null without an error
+    )
     records = scan.records.withColumn(DAY_FOLDER, expected).withColumnRenamed("record_number", "_numero_fila")
     # parsed and checked once; both layers and the summary read the written rows
     checked = write_through(check_rows(records, visit_rules(F.col(DAY_FOLDER))), "checked")
     counted = rejection_summary(checked, DAY_FOLDER)
-    days = files.select(DAY_FOLDER).distinct()
     numbers = [c for c in counted.columns if c != DAY_FOLDER]
-    summary = write_through(days.join(counted, DAY_FOLDER, "left").fillna(0, numbers), "summary")
-    days = summary.select(DAY_FOLDER)
+    summary = write_through(listed.join(counted, DAY_FOLDER, "left").fillna(0, numbers), "summary")
+    staged = summary.where("error is null")
+    days = staged.select(DAY_FOLDER)
     for layer, rows, columns, count in (
         ("staged", valid_rows(checked), STAGED_COLUMNS, "validas"),
         ("cuarentena", quarantined_rows(checked), QUARANTINE_COLUMNS, "rechazadas"),
     ):
-        present = summary.where(F.col(count) > 0).select(DAY_FOLDER)
+        present = staged.where(F.col(count) > 0).select(DAY_FOLDER)
+        if not strict:
+            rows = rows.join(days, DAY_FOLDER, "left_semi")
         folder = layer_folder(lake, layer, VISITS)
         replace_days(rows.select(DAY_FOLDER, *columns), folder, DAY_FOLDER, days, "csv", present, **CSV_WRITE)
     if strict:

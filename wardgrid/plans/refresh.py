@@ -15,7 +15,7 @@ from ..operators.grid import dense_grid, fill_grid
 from ..params import DEFAULTS, Parameters
 from ..sources.catalogue import district_aliases, districts
 from ..sources.lake import replace_days
-from ..sources.scratch import write_through
+from ..sources.scratch import write_all_through, write_through
 from .models import (
     COUNT_COLUMNS,
     READING_COLUMNS,
@@ -72,7 +72,7 @@ def refreshed_rows(
     marked = spark.createDataFrame([(d,) for d in changed], "fecha date")
     visits = visits_by_district(staged_visits(_on_days(raw_visits, "fecha_atencion", changed)), aliases)
     air = air_by_district(staged_air(_on_days(raw_air, "fecha", changed)), places, params)
-    visits, air = write_through(visits, "changed-visits"), write_through(air, "changed-air")
+    visits, air = write_all_through({"changed-visits": visits, "changed-air": air})
 
     new_days = visits.select("fecha").union(air.select("fecha")).distinct()
     grid = dense_grid(new_days, places.select("ubigeo", "distrito", "zona"), "ubigeo")

@@ -7,7 +7,9 @@ plans a known size, so Spark itself decides by that size whether to broadcast.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
@@ -23,3 +25,13 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def write_all_through(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Write independent tables at the same time, so that one small job does not hold up the others."""
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(len(tables)) as pool:
+        started = [
+            pool.submit(inheritable_thread_target(spark)(write_through), df, name) for name, df in tables.items()
+        ]
+        return [s.result() for s in started]

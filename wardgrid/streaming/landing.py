@@ -50,7 +50,7 @@ def ingest_landed(
     """Process all files present, then stop (``availableNow``).
 
     Per batch: scan, validate, write layers, load the days within the limit, and
-    fail on the days over it after the others are loaded.
+    fail on unreadable files and on days over it after the others are loaded.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
@@ -59,11 +59,18 @@ def ingest_landed(
         if not paths:
             return
         summary = stage_visits(spark, paths, lake, params, strict=False)
-        refused = over_limit(summary, params.max_rejection_rate)
+        unreadable = F.col("error").isNotNull()
+        refused = summary.where(unreadable).unionByName(
+            over_limit(summary.where(~unreadable), params.max_rejection_rate)
+        )
         load_visits(spark, lake, table, summary.join(refused, "fecha", "left_anti"))
-        days = [str(r.fecha) for r in refused.orderBy("fecha").collect()]
-        if days:
-            raise QualityGateError(f"batch {batch_id}: too many rejected rows on {', '.join(days)}")
+        # at most one row per file of the batch
+        reasons = [
+            f"{r.fecha}: {r.error or f'{r.rechazadas} of {r.total} rows rejected'}"
+            for r in refused.orderBy("fecha").collect()
+        ]
+        if reasons:
+            raise QualityGateError(f"batch {batch_id} loaded except for " + "; ".join(reasons))
 
     return (
         landed_files(spark, folder, files_per_batch)
@@ -72,8 +79,3 @@ def ingest_landed(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def unreadable(files: DataFrame) -> DataFrame:
-    """Files a scan could not interpret, with the reason."""
-    return files.where(F.col("error").isNotNull()).select("path", "error")
