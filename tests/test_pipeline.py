@@ -147,5 +147,8 @@ def test_stream_loads_new_and_resubmitted_days(spark, tmp_path):
     land(tmp_path / "in", dt.date(2026, 10, 11), visits(dt.date(2026, 10, 11), 1))
     with pytest.raises(Exception, match="2026-10-09: 4 of 4 rows rejected|2026-10-10: file.*no separator"):
         ingest_landed(spark, str(tmp_path / "in"), lake, table, state).awaitTermination()
+    refused = str(tmp_path / "refused")
+    ingest_landed(spark, str(tmp_path / "in"), lake, table, state, refused_to=refused).awaitTermination()
+    assert {r.fecha.day: r.total for r in spark.read.parquet(refused).collect()} == {9: 4, 10: 0}
     got = spark.read.schema(schemas.RAW_VISITS).parquet(table).where("fecha_atencion > '2026-10-08'")
     assert {(r.fecha_atencion, r.num_atenciones) for r in got.collect()} == {(dt.date(2026, 10, 11), 1)}

@@ -261,12 +261,13 @@ def _stitched_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
     state = _resolve(F.col("fixed"), F.col("flips"), F.col("block_inside"))
+    inert = F.col("stays") & ~F.col("opens")
     lines = (
         flagged.join(ends, ["path", "block"])
         .withColumn("ends_inside", state)
         .withColumn("inside", F.coalesce(F.lag("ends_inside").over(in_block), F.col("block_inside")))
         .withColumn("started", F.sum(F.when(~F.col("inside"), 1).otherwise(0)).over(running))
-        .withColumn("quoted_run", F.sum(F.when(quoted, 1).otherwise(0)).over(running))
+        .withColumn("run", F.sum(F.when(inert, 0).otherwise(1)).over(running))
     )
     offsets = lines.groupBy("path", "block").agg(F.max("started").alias("n")).select(
         "path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("records_before")
@@ -275,11 +276,11 @@ def _stitched_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         "record_number", F.col("records_before") + F.col("started")
     )
 
-    # a run of quote-free lines inside quotes lies in one field: refuse it past the
-    # format's limit, so that a stray quote never gathers the rest of a file
+    # a run of lines that leave the state alone inside quotes lies in one field: refuse
+    # it past the format's limit, so that a stray quote never gathers the rest of a file
     too_long = (
-        lines.where(F.col("inside") & ~quoted)
-        .groupBy("path", "block", "quoted_run")
+        lines.where(F.col("inside") & inert)
+        .groupBy("path", "block", "run")
         .agg(F.sum(F.length("text") + 1).alias("chars"))
         .where(F.col("chars") > FIELD_LIMIT)
         .select("path", F.lit(f"field larger than {FIELD_LIMIT} characters").alias("late_error"))

@@ -46,11 +46,14 @@ def ingest_landed(
     checkpoint: str,
     params: Parameters = DEFAULTS,
     files_per_batch: int = 1000,
+    refused_to: str | None = None,
 ) -> StreamingQuery:
     """Process all files present, then stop (``availableNow``).
 
-    Per batch: scan, validate, write layers, load the days within the limit, and
-    fail on unreadable files and on days over it after the others are loaded.
+    Per batch: scan, validate, write layers, load the days within the limit.
+    Unreadable files and days over the limit then fail the batch, which is tried
+    again on the next start; with ``refused_to`` they are written there, one folder
+    per batch, and the stream goes on.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
@@ -64,6 +67,9 @@ def ingest_landed(
             over_limit(summary.where(~unreadable), params.max_rejection_rate)
         )
         load_visits(spark, lake, table, summary.join(refused, "fecha", "left_anti"))
+        if refused_to:
+            refused.write.mode("overwrite").parquet(f"{refused_to}/batch={batch_id}")
+            return
         # at most one row per file of the batch
         reasons = [
             f"{r.fecha}: {r.error or f'{r.rechazadas} of {r.total} rows rejected'}"
