@@ -72,19 +72,39 @@ def choose_separator(line: Column) -> Column:
     return choice
 
 
+def _occurrences(text: Column, part: Column) -> Column:
+    return (F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)
+
+
+def _plainly_quoted(record: Column, separator: Column) -> Column:
+    """Is every field quoted, without quotes inside? Decided by counting marks.
+
+    Each quote is then the first, the last, or one of the two around a separator.
+    """
+    joint = F.concat(F.lit('"'), separator, F.lit('"'))
+    accounted = _occurrences(record, joint) * 2 + 2
+    return record.startswith('"') & record.endswith('"') & (_occurrences(record, F.lit('"')) == accounted)
+
+
 def _ends_inside_quotes(line: Column, separator: Column, starts_inside: bool = False) -> Column:
     """Does a quoted field stay open at the end of this line?
 
     Doubled quotes never change the state, so they are removed first. Complete
     fields are then consumed from the left; only an open quoted field remains.
+    Lines of one field and plainly quoted lines are decided without that.
     """
     single = F.replace(line, F.lit('""'), F.lit(""))
-    lead = F.concat(separator, F.lit('"')) if starts_inside else separator
+    text = F.concat(F.lit('"'), single) if starts_inside else single
     field = F.concat(
         F.lit("(?s)["), separator, F.lit(']+(?:"[^"]*"[^'), separator, F.lit(']*|[^"'), separator,
         F.lit("][^"), separator, F.lit("]*)?(?=["), separator, F.lit("]|$)"),
     )
-    return F.regexp_replace(F.concat(lead, single), field, F.lit("")) != ""
+    rest = F.regexp_replace(F.concat(separator, text), field, F.lit(""))
+    one_field = F.when(text.startswith('"'), F.locate('"', text, 2) == 0).otherwise(False)
+    decided = F.when(~line.contains(separator), one_field)
+    if not starts_inside:
+        decided = decided.when(_plainly_quoted(F.rtrim(line, F.lit("\r")), separator), False)
+    return decided.otherwise(rest != "")
 
 
 def split_fields(record: Column, separator: Column) -> Column:
@@ -96,13 +116,21 @@ def split_fields(record: Column, separator: Column) -> Column:
     pieces = F.regexp_extract_all(F.concat(separator, record), field, F.lit(1))
 
     def unquote(piece: Column) -> Column:
-        inner = F.regexp_extract(piece, r'(?s)^"([^"]*+(?:""[^"]*+)*+)"?(.*)$', 1)
-        tail = F.regexp_extract(piece, r'(?s)^"([^"]*+(?:""[^"]*+)*+)"?(.*)$', 2)
-        plain = F.concat(F.replace(inner, F.lit('""'), F.lit('"')), tail)
-        return F.when(piece.startswith('"'), plain).otherwise(piece)
+        shape = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"?(.*)$'
+        inner, tail = F.regexp_extract(piece, shape, 1), F.regexp_extract(piece, shape, 2)
+        clean = piece.endswith('"') & (_occurrences(piece, F.lit('"')) == 2)
+        return (
+            F.when(~piece.startswith('"'), piece)
+            .when(clean, F.substring(piece, F.lit(2), F.length(piece) - 2))
+            .otherwise(F.concat(F.replace(inner, F.lit('""'), F.lit('"')), tail))
+        )
 
-    return F.when(record.contains('"'), F.transform(pieces, unquote)).otherwise(
-        F.split(record, F.concat(F.lit("\\"), separator), -1)
+    inside = F.substring(record, F.lit(2), F.length(record) - 2)
+    joint = F.concat(F.lit('"['), separator, F.lit(']"'))
+    return (
+        F.when(~record.contains('"'), F.split(record, F.concat(F.lit("\\"), separator), -1))
+        .when(_plainly_quoted(record, separator), F.split(inside, joint, -1))
+        .otherwise(F.transform(pieces, unquote))
     )
 
 
