@@ -76,14 +76,19 @@ def _occurrences(text: Column, part: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)
 
 
+def _between_ends(text: Column) -> Column:
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
 def _plainly_quoted(record: Column, separator: Column) -> Column:
     """Is every field quoted, without quotes inside? Decided by counting marks.
 
-    Each quote is then the first, the last, or one of the two around a separator.
+    Between the first and the last quote all others must stand around a separator.
     """
+    inner = _between_ends(record)
     joint = F.concat(F.lit('"'), separator, F.lit('"'))
-    accounted = _occurrences(record, joint) * 2 + 2
-    return record.startswith('"') & record.endswith('"') & (_occurrences(record, F.lit('"')) == accounted)
+    framed = record.startswith('"') & record.endswith('"') & (F.length(record) > 1)
+    return framed & (_occurrences(inner, F.lit('"')) == _occurrences(inner, joint) * 2)
 
 
 def _ends_inside_quotes(line: Column, separator: Column, starts_inside: bool = False) -> Column:
@@ -121,15 +126,14 @@ def split_fields(record: Column, separator: Column) -> Column:
         clean = piece.endswith('"') & (_occurrences(piece, F.lit('"')) == 2)
         return (
             F.when(~piece.startswith('"'), piece)
-            .when(clean, F.substring(piece, F.lit(2), F.length(piece) - 2))
+            .when(clean, _between_ends(piece))
             .otherwise(F.concat(F.replace(inner, F.lit('""'), F.lit('"')), tail))
         )
 
-    inside = F.substring(record, F.lit(2), F.length(record) - 2)
     joint = F.concat(F.lit('"['), separator, F.lit(']"'))
     return (
         F.when(~record.contains('"'), F.split(record, F.concat(F.lit("\\"), separator), -1))
-        .when(_plainly_quoted(record, separator), F.split(inside, joint, -1))
+        .when(_plainly_quoted(record, separator), F.split(_between_ends(record), joint, -1))
         .otherwise(F.transform(pieces, unquote))
     )
 
