@@ -50,6 +50,20 @@ POLLUTANT = "pm25"
 AIR_SOURCES = ("openaq", "simulada")
 ZONES = ("Lima Centro", "Lima Norte", "Lima Este", "Lima Sur")
 
+# --- fixed values: shapes of codes and counts, digits of any script ----------
+DIAGNOSIS_SHAPE = r"^J\p{Nd}{2}(\.\p{Nd}{1,2})?$"
+COUNT_SHAPE = r"^\p{Nd}+(\.0+)?$"
+
+# --- fixed values: rejection reasons; {} is the value or the column -----------
+REASON_BAD_DATE = "fecha invalida '{}'"
+REASON_OTHER_DAY = "fecha {} distinta al dia procesado"
+REASON_EMPTY = "{} vacio"
+REASON_NOT_IN_DOMAIN = "grupo_edad invalido '{}'"
+REASON_BAD_DIAGNOSIS = "diagnostico_cie10 no respiratorio o invalido '{}'"
+REASON_BAD_COUNT = "num_atenciones invalido '{}'"
+REASON_SEPARATOR = "; "
+MISSING_VALUE = "None"  # how a field that the record does not reach is shown
+
 # --- fixed values: air categories ---------------------------------------------
 NO_COVERAGE = "SIN_COBERTURA"
 WITHIN_GUIDE = "DENTRO_GUIA_OMS"
@@ -109,6 +123,13 @@ REPORT_TABLE_HEAD = (
     "| Calidad del aire | Var. vs 7 dias | Alerta |"
 )
 REPORT_TABLE_RULE = "|---|---|---:|---:|---:|---:|---|---:|---|"
+REPORT_PLACES = "- Distritos analizados: **{}**"
+REPORT_VISITS = "- Atenciones respiratorias reportadas: **{}**"
+REPORT_MEASURED = "- Distritos con medicion de PM2.5: **{}**"
+REPORT_WORST = "- Mayor PM2.5 del dia: **{} µg/m³** en {}"
+REPORT_ALERTS = "- Distritos en ALERTA de salud publica: **{}**"
+REPORT_ALERT_LIST = "  - {}"
+REPORT_YES, REPORT_NO, REPORT_NONE = "SI", "no", "-"
 REPORT_CRITERIA = (
     "Criterios: guia OMS 2021 PM2.5 24 h = 15 µg/m³; ECA Peru PM2.5 24 h = 50 µg/m³. "
     "Alerta = aire sobre la guia OMS y atenciones al menos 20% sobre el promedio de "

@@ -33,6 +33,13 @@ def normalize_text(value: Column | str) -> Column:
     return F.regexp_replace(folded, r"\s+", " ")
 
 
+def filled_text(template: str, *values: Column) -> Column:
+    """The template with each ``{}`` replaced by a value; null when a value is null."""
+    pieces = [F.lit(t) for t in template.split("{}")]
+    parts = [p for pair in zip(pieces, [*values, F.lit("")]) for p in pair]
+    return F.concat(*parts)
+
+
 def text_map(entries: dict[str, str]) -> Column:
     """Constant text-to-text map; one literal instead of one per key and value."""
     joined = "\x1e".join(f"{k}\x1f{v}" for k, v in entries.items())

@@ -11,14 +11,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..errors import QualityGateError
 from ..fixed_values import (
     CATEGORY_LABELS,
+    MISSING_VALUE,
+    REPORT_ALERT_LIST,
+    REPORT_ALERTS,
     REPORT_COLUMNS,
     REPORT_CRITERIA,
+    REPORT_MEASURED,
+    REPORT_NO,
+    REPORT_NONE,
+    REPORT_PLACES,
     REPORT_TABLE_HEAD,
     REPORT_TABLE_RULE,
     REPORT_TITLE,
+    REPORT_VISITS,
+    REPORT_WORST,
+    REPORT_YES,
 )
 from ..functions.rounding import round_binary
-from ..functions.text import text_map
+from ..functions.text import filled_text, text_map
 
 
 def severity() -> Column:
@@ -69,18 +79,18 @@ def _one_decimal(value: str, form: str = "%.1f") -> Column:
 
 
 def _or_dash(value: Column, text: Column) -> Column:
-    return F.when(value.isNull(), "-").otherwise(text)
+    return F.when(value.isNull(), REPORT_NONE).otherwise(text)
 
 
 def _table_row() -> Column:
     label = F.coalesce(
         F.try_element_at(text_map(CATEGORY_LABELS), F.col("categoria_aire")),
         F.col("categoria_aire"),
-        F.lit("None"),
+        F.lit(MISSING_VALUE),
     )
     cells = [
-        F.coalesce("distrito", F.lit("None")),
-        F.coalesce(F.when(F.col("zona") != "", F.col("zona")), F.lit("-")),
+        F.coalesce("distrito", F.lit(MISSING_VALUE)),
+        F.coalesce(F.when(F.col("zona") != "", F.col("zona")), F.lit(REPORT_NONE)),
         *(
             _or_dash(F.col(c), F.col(c).cast("string"))
             for c in ("total_atenciones", "atenciones_menores_5", "atenciones_adultos_mayores")
@@ -90,7 +100,7 @@ def _table_row() -> Column:
         _or_dash(
             F.col("variacion_vs_7d_pct"), F.concat(_one_decimal("variacion_vs_7d_pct", "%+.1f"), F.lit("%"))
         ),
-        F.when(F.coalesce("alerta_salud_publica", F.lit(False)), "SI").otherwise("no"),
+        F.when(F.coalesce("alerta_salud_publica", F.lit(False)), REPORT_YES).otherwise(REPORT_NO),
     ]
     return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
 
@@ -103,21 +113,18 @@ def report_lines(mart: DataFrame, title: str = REPORT_TITLE) -> DataFrame:
     """
     head = report_header(mart)
 
-    def bullet(label: str, value: Column) -> Column:
-        return F.concat(F.lit(f"- {label}: **"), value.cast("string"), F.lit("**"))
+    def count(name: str) -> Column:
+        return F.col(name).cast("string")
 
-    worst = F.concat(
-        F.lit("- Mayor PM2.5 del dia: **"), _one_decimal("peor_pm25"), F.lit(" µg/m³** en "), F.col("peor_distrito")
-    )
     fixed = [
         F.concat(F.lit(f"# {title} — "), F.col("fecha").cast("string")),
         F.lit(""),
-        bullet("Distritos analizados", F.col("distritos")),
-        bullet("Atenciones respiratorias reportadas", F.col("atenciones")),
-        bullet("Distritos con medicion de PM2.5", F.col("con_pm25")),
-        F.when(F.col("con_pm25") > 0, worst),
-        bullet("Distritos en ALERTA de salud publica", F.col("alertas")),
-        F.when(F.col("alertas") > 0, F.concat(F.lit("  - "), F.col("en_alerta"))),
+        filled_text(REPORT_PLACES, count("distritos")),
+        filled_text(REPORT_VISITS, count("atenciones")),
+        filled_text(REPORT_MEASURED, count("con_pm25")),
+        F.when(F.col("con_pm25") > 0, filled_text(REPORT_WORST, _one_decimal("peor_pm25"), F.col("peor_distrito"))),
+        filled_text(REPORT_ALERTS, count("alertas")),
+        F.when(F.col("alertas") > 0, filled_text(REPORT_ALERT_LIST, F.col("en_alerta"))),
         F.lit(""),
         F.lit(REPORT_TABLE_HEAD),
         F.lit(REPORT_TABLE_RULE),

@@ -8,15 +8,26 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import QualityGateError
-from ..fixed_values import AGE_GROUPS, VISIT_COLUMNS
+from ..fixed_values import (
+    AGE_GROUPS,
+    COUNT_SHAPE,
+    DIAGNOSIS_SHAPE,
+    MISSING_VALUE,
+    REASON_BAD_COUNT,
+    REASON_BAD_DATE,
+    REASON_BAD_DIAGNOSIS,
+    REASON_EMPTY,
+    REASON_NOT_IN_DOMAIN,
+    REASON_OTHER_DAY,
+    REASON_SEPARATOR,
+    VISIT_COLUMNS,
+)
 from ..functions.dates import parse_day
 from ..functions.once import filter_computed
-from ..functions.text import ascii_digits, drop_whitespace, strip
+from ..functions.text import ascii_digits, drop_whitespace, filled_text, strip
 
 REASONS = "_motivos"
 _CLEAN = "_limpio"
-DIAGNOSIS_SHAPE = r"^J\p{Nd}{2}(\.\p{Nd}{1,2})?$"
-COUNT_SHAPE = r"^\p{Nd}+(\.0+)?$"
 
 
 @dataclass(frozen=True)
@@ -32,10 +43,6 @@ class FieldRule:
     reasons: Callable[[Column], list[Column]]
 
 
-def _quote(text: Column) -> Column:
-    return F.concat(F.lit("'"), F.coalesce(text, F.lit("None")), F.lit("'"))
-
-
 def _given(column: str) -> Column:
     """The raw value, a missing one read as empty."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -51,37 +58,36 @@ def parse_count(value: Column | str) -> Column:
 
 def day_rule(column: str, expected: Column) -> FieldRule:
     def reasons(day: Column) -> list[Column]:
-        other = F.concat(F.lit("fecha "), day.cast("string"), F.lit(" distinta al dia procesado"))
         return [
-            F.when(day.isNull(), F.concat(F.lit("fecha invalida "), _quote(strip(_given(column))))),
-            F.when(day.isNotNull() & ~day.eqNullSafe(expected), other),
+            F.when(day.isNull(), filled_text(REASON_BAD_DATE, strip(_given(column)))),
+            F.when(day.isNotNull() & ~day.eqNullSafe(expected), filled_text(REASON_OTHER_DAY, day.cast("string"))),
         ]
 
     return FieldRule(column, parse_day(_given(column)), reasons)
 
 
 def filled_rule(column: str) -> FieldRule:
-    return FieldRule(column, strip(_given(column)), lambda text: [F.when(text == "", F.lit(f"{column} vacio"))])
+    reason = F.lit(REASON_EMPTY.format(column))
+    return FieldRule(column, strip(_given(column)), lambda text: [F.when(text == "", reason)])
 
 
 def domain_rule(column: str, domain: tuple[str, ...]) -> FieldRule:
-    reason = F.concat(F.lit(f"{column} invalido "), _quote(F.col(column)))
+    reason = filled_text(REASON_NOT_IN_DOMAIN, F.coalesce(F.col(column), F.lit(MISSING_VALUE)))
     return FieldRule(
         column, drop_whitespace(_given(column)), lambda text: [F.when(~text.isin(*domain), reason)]
     )
 
 
 def diagnosis_rule(column: str) -> FieldRule:
-    label = F.lit(f"{column} no respiratorio o invalido ")
     return FieldRule(
         column,
         F.upper(strip(_given(column))),
-        lambda code: [F.when(~code.rlike(DIAGNOSIS_SHAPE), F.concat(label, _quote(code)))],
+        lambda code: [F.when(~code.rlike(DIAGNOSIS_SHAPE), filled_text(REASON_BAD_DIAGNOSIS, code))],
     )
 
 
 def count_rule(column: str) -> FieldRule:
-    reason = F.concat(F.lit(f"{column} invalido "), _quote(strip(_given(column))))
+    reason = filled_text(REASON_BAD_COUNT, strip(_given(column)))
     return FieldRule(column, parse_count(_given(column)), lambda count: [F.when(count.isNull(), reason)])
 
 
@@ -116,7 +122,7 @@ def quarantined_rows(checked: DataFrame, columns: tuple[str, ...] = VISIT_COLUMN
     rejected = filter_computed(checked, F.size(REASONS) > 0)
     raw = {c: F.coalesce(F.col(c), F.lit("")) for c in columns}
     return (
-        rejected.withColumns(raw).withColumn("motivo_rechazo", F.array_join(REASONS, "; ")).drop(REASONS, _CLEAN)
+        rejected.withColumns(raw).withColumn("motivo_rechazo", F.array_join(REASONS, REASON_SEPARATOR)).drop(REASONS, _CLEAN)
     )
 
 
