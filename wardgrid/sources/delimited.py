@@ -148,6 +148,17 @@ def pick(values: Column, positions: Column) -> Column:
 
 
 # ---------------------------------------------------------------------- scan
+def _pin_read_partitions(spark: SparkSession) -> None:
+    """Make both passes cut files alike.
+
+    Unless set, the number of read partitions follows the cores registered at that
+    moment, which change when executors come and go.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    if not (spark.conf.get(key, None) or "").isdigit():
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Physical lines with raw bytes preserved and their place in the file."""
     return spark.read.option("lineSep", "\n").text(paths).select(
@@ -376,6 +387,7 @@ def scan_delimited(
     """Scan files into canonical string columns, numbering records per file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     synonyms = HEADER_SYNONYMS if synonyms is None else synonyms
+    _pin_read_partitions(spark)
     lines = _lines(spark, paths)
     # empty files have no rows, so they are only visible in the reader's listing
     listing = spark.read.text(paths).inputFiles()
@@ -387,20 +399,29 @@ def scan_delimited(
     files = _with_header(write_through(_file_table(census, listed), "files"), columns, synonyms)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # a crossing header is only known after stitching, so its own error is ignored here
-    usable = files.where("crosses or error is null").select(
-        "path", "encoding", "separator", "crosses", *_positions(columns)
-    )
+    usable = F.coalesce("crosses", F.lit(False)) | F.col("error").isNull()
+    layout = files.select("path", "encoding", "separator", "crosses", usable.alias("usable"), *_positions(columns))
     blocks = write_through(
         census.select(
-            "path", "block", "first_seq", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before")
-        ).join(usable, "path"),
+            "path", "block", "rows", "first_seq",
+            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
+        ).join(layout, "path"),
         "blocks",
     )
-    numbered = lines.join(blocks, ["path", "block"]).withColumns(
-        {
-            "line_number": F.col("rows_before") + F.col("seq") - F.col("first_seq") + 1,
-            "text": _decoded(F.col("raw")),
-        }
+    # every line must find its block; one that does not means that the files, or the way
+    # they are cut, changed since the census, and must not be dropped silently
+    index = F.col("seq") - F.col("first_seq")
+    numbered = (
+        lines.join(blocks, ["path", "block"], "left")
+        .where(F.coalesce("usable", F.lit(True)))
+        .withColumns(
+            {
+                "line_number": F.when((index >= 0) & (index < F.col("rows")), F.col("rows_before") + index + 1)
+                .otherwise(F.raise_error(F.lit("files or read settings changed between the passes"))),
+                "text": _decoded(F.col("raw")),
+                "crosses": F.coalesce("crosses", F.lit(False)),
+            }
+        )
     )
     records = _fields(
         numbered.where(~F.col("crosses")).withColumnRenamed("line_number", "record_number"), columns

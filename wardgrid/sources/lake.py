@@ -45,11 +45,6 @@ def with_lineage(df: DataFrame, columns: tuple[str, ...], origin: Column | str)
     return df.withColumn("_archivo_origen", origin).select(*columns)
 
 
-def read_layer(spark: SparkSession, folder: str, schema, fmt: str = "parquet", **options) -> DataFrame:
-    """A layer's folder with its day as a partition column, so day filters prune."""
-    return spark.read.format(fmt).options(**options).schema(schema).load(folder)
-
-
 def replace_partition(df: DataFrame, table: str, column: str, day: dt.date | str) -> int:
     """Replace one day of a partitioned Parquet table and return its row count.
 
