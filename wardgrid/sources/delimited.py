@@ -1,11 +1,12 @@
 """Delimited files of unknown encoding, separator and header spelling.
 
 The scan is splittable: files are read as text blocks, so one huge file is
-spread over as many tasks as it has blocks. Two passes are made.
+spread over as many tasks as it has blocks. It has two steps.
 
-1. A census of every (file, block): rows, first row, whether the bytes are valid
+1. A census of every (file, block): rows, first row id, whether the bytes are valid
    UTF-8, whether a quoted field may cross a line end. It is pre-aggregated in
-   each task and written as a small table with one row per block.
+   each task and written as a small table with one row per block. The first line
+   of each file is then looked up by its row id.
 2. The parse, which joins that table for encoding, separator, column positions
    and the number of the block's first line. Record numbers come from the
    position inside the block plus that offset, so no row is shuffled for them.
@@ -28,6 +29,8 @@ from ..functions.text import WHITESPACE, canonical_header, strip
 from .scratch import write_through
 
 FIELD_LIMIT = 131072  # fixed value: longest field the file format accepts
+# a row of the block table takes some 300 bytes, so this many stay below 200 MB
+BROADCAST_BLOCKS = 500_000
 _ASCII_BLANKS = " \t\n\r\x0b\x0c"
 _LINE_BREAKS = "[\r\n\x0b\x0c\x1c-\x1e\x85  ]"
 # fixed values: bytes 0x80-0x9F in Windows-1252; the five unassigned ones are absent
@@ -170,7 +173,7 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _census(lines: DataFrame) -> DataFrame:
-    """One row per (file, block)."""
+    """One row per (file, block), all columns of fixed width but the path."""
     raw, valid = F.col("raw"), F.is_valid_utf8("raw")
     # text functions need valid text; Latin-1 keeps all marks of other encodings in place
     text = F.when(valid, raw).otherwise(F.decode(raw.cast("binary"), "ISO-8859-1"))
@@ -189,26 +192,40 @@ def _census(lines: DataFrame) -> DataFrame:
     ]
     names = ["unassigned", "filled", "loose_return", *(f"open_{i}" for i in range(len(SEPARATORS)))]
     return (
-        lines.select("path", "block", "seq", *flags, F.when(F.col("block") == 0, raw).alias("raw"))
+        lines.select("path", "block", "seq", *flags)
         .groupBy("path", "block")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.min("seq").alias("first_seq"),
             F.bool_and("utf8").alias("utf8"),
             *(F.bool_or(n).alias(n) for n in names),
-            F.min_by("raw", "seq").cast("binary").alias("head"),
         )
     )
 
 
-def _file_table(census: DataFrame, listed: DataFrame) -> DataFrame:
+def _heads(lines: DataFrame, census: DataFrame, small: bool) -> DataFrame:
+    """First line of every file, by the row id the census found.
+
+    A second reading is cheaper than keeping text in the census: with fixed-width
+    buffers only, the census is hash-aggregated in generated code.
+    """
+    first = census.where("block = 0").select("path", F.col("first_seq").alias("seq"))
+    found = lines.where("block = 0").join(_sized(first, small), ["path", "seq"])
+    return found.select("path", F.col("raw").cast("binary").alias("head"))
+
+
+def _sized(table: DataFrame, small: bool) -> DataFrame:
+    """Broadcast a table whose rows were counted; otherwise leave the join to Spark."""
+    return F.broadcast(table) if small else table
+
+
+def _file_table(census: DataFrame, heads: DataFrame, listed: DataFrame) -> DataFrame:
     """One row per listed file: encoding, separator, first line, first error found."""
     found = census.groupBy("path").agg(
         F.bool_and("utf8").alias("utf8"),
         *(F.bool_or(n).alias(n) for n in census.columns if n in ("unassigned", "filled", "loose_return")),
         *(F.bool_or(f"open_{i}").alias(f"open_{i}") for i in range(len(SEPARATORS))),
-        F.min_by("head", "block").alias("head"),
-    )
+    ).join(heads, "path")
     as_utf8 = F.regexp_replace(F.col("head").cast("string"), "^﻿", "")
     head = F.rtrim(F.when(F.col("utf8"), as_utf8).otherwise(windows_text(F.col("head"))), F.lit("\r"))
     known = (
@@ -396,7 +413,9 @@ def scan_delimited(
     )
 
     census = write_through(_census(lines), "census")
-    files = _with_header(write_through(_file_table(census, listed), "files"), columns, synonyms)
+    small = census.count() <= BROADCAST_BLOCKS
+    known = _file_table(census, _heads(lines, census, small), listed)
+    files = _with_header(write_through(known, "files"), columns, synonyms)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # a crossing header is only known after stitching, so its own error is ignored here
     usable = F.coalesce("crosses", F.lit(False)) | F.col("error").isNull()
@@ -412,7 +431,7 @@ def scan_delimited(
     # they are cut, changed since the census, and must not be dropped silently
     index = F.col("seq") - F.col("first_seq")
     numbered = (
-        lines.join(blocks, ["path", "block"], "left")
+        lines.join(_sized(blocks, small), ["path", "block"], "left")
         .where(F.coalesce("usable", F.lit(True)))
         .withColumns(
             {
