@@ -185,12 +185,14 @@ def _census(lines: DataFrame) -> DataFrame:
         .otherwise(False).alias("unassigned"),
         (F.btrim(text, F.lit(_ASCII_BLANKS)) != "").alias("filled"),
         (raw.contains("\r") & ~quoted & F.rtrim(text, F.lit("\r")).contains("\r")).alias("loose_return"),
-        *(
-            F.when(quoted, _ends_inside_quotes(text, F.lit(s))).otherwise(False).alias(f"open_{i}")
-            for i, s in enumerate(SEPARATORS)
-        ),
+        # one expression for all separators, only run on lines with quotes: generated
+        # code for four would be too long to be compiled
+        F.when(
+            quoted,
+            F.transform(F.array(*(F.lit(s) for s in SEPARATORS)), lambda s: _ends_inside_quotes(text, s)),
+        ).alias("open"),
     ]
-    names = ["unassigned", "filled", "loose_return", *(f"open_{i}" for i in range(len(SEPARATORS)))]
+    names = ["unassigned", "filled", "loose_return"]
     return (
         lines.select("path", "block", "seq", *flags)
         .groupBy("path", "block")
@@ -199,6 +201,10 @@ def _census(lines: DataFrame) -> DataFrame:
             F.min("seq").alias("first_seq"),
             F.bool_and("utf8").alias("utf8"),
             *(F.bool_or(n).alias(n) for n in names),
+            *(
+                F.bool_or(F.coalesce(F.get("open", F.lit(i)), F.lit(False))).alias(f"open_{i}")
+                for i in range(len(SEPARATORS))
+            ),
         )
     )
 
