@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .hyperminhash import near_duplicates
 from .suffix_dedup import suffix_dedup
 from .window_dedup import window_dedup
 from .workers import importable
@@ -28,6 +29,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup(_table(spark, sf_dir, "documents"))

@@ -71,13 +71,15 @@ def runs(texts: DataFrame, elements: Elements, window: int, part: int) -> DataFr
 def with_repeated_part(found: DataFrame) -> DataFrame:
     """Runs whose part some other run has too; ``several``: not all of them have the same body.
 
-    Counting keeps one row per part and task; the join back may split a part that very many runs have.
+    Counting keeps one row per part and task. The counts are written, so that the join back reads two plain
+    exchanges and can split a part that very many runs have.
     """
-    parts = (
+    parts = staged(
         found.groupBy("part")
         .agg(F.count("*").alias("n"), F.min("body").alias("least"), F.max("body").alias("most"))
         .where("n > 1")
-        .select("part", (F.col("least") != F.col("most")).alias("several"))
+        .select("part", (F.col("least") != F.col("most")).alias("several")),
+        "parts",
     )
     return found.join(parts, "part")
 
