@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .arrow_ids import arrow_ids
 from .hyperminhash import near_duplicates
+from .language import identify
+from .packing import pack
+from .simhash import edited_fingerprints
 from .suffix_dedup import suffix_dedup
 from .window_dedup import window_dedup
 from .workers import importable
@@ -37,3 +42,28 @@ def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def _remainder(of: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+@_query
+def op8_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(_table(spark, sf_dir, "documents"), learn="crc32(cast(doc_id as string)) % 4 <> 2")
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_arrow_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_ids(_table(spark, sf_dir, "documents"))
