@@ -226,6 +226,6 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    found = staged(contaminated(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")).distinct(), "contaminated")
-    own = dict(zip(("_doc", "_mark"), repeats._identity()[:2], strict=True))
-    return docs.withColumns(own).join(found, ["_doc", "_mark"], "left_anti").drop("_doc", "_mark")
+    found = staged(contaminated(docs, benchmark).select(F.col("doc_id").alias("_contaminated_doc"), F.col("mark").alias("_contaminated_mark")).distinct(), "contaminated")
+    own = dict(zip(("_contaminated_doc", "_contaminated_mark"), repeats._identity()[:2], strict=True))
+    return docs.withColumns(own).join(found, ["_contaminated_doc", "_contaminated_mark"], "left_anti").drop("_contaminated_doc", "_contaminated_mark")

@@ -6,8 +6,8 @@ to length one. The model is fitted on at most ``SAMPLE`` labelled documents (tho
 doc_id), document by document, with per-coordinate rates; scoring is one sparse dot product per document.
 
 Defined cases: null and empty texts have no features and get the score of the intercept; rows without a label
-are only scored; without any label every score is 1; repeated rows score alike; other columns do no harm;
-empty tables give no rows.
+are only scored; without any label every score is 1; repeated rows score alike; columns named like the
+results are replaced by them; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from . import seqhash
 
 DIMENSIONS, SAMPLE, EPOCHS, THRESHOLD = 1 << 18, 4000, 3, 0.3
+#: Labels to learn from; the rest is held out.
+LEARN = "crc32(cast(doc_id as string)) % 5 <> 0"
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 
 _U = np.uint64
@@ -109,6 +111,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: str = "true", sample: int =
     """``docs`` with the columns score (likelihood of label 1) and predicted; ``learn`` is the SQL condition of labels to use."""
     rows = sorted(training_rows(docs, labels, learn, sample).collect(), key=lambda r: (r["at"], r["doc_id"], r["quality"], r["text"] or ""))
     model = fit([r["text"] or "" for r in rows], [int(r["quality"]) for r in rows])
+    docs = docs.drop("score", "predicted")
     carried = docs.schema.fields
 
     def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,8 +125,5 @@ def score(docs: DataFrame, labels: DataFrame, learn: str = "true", sample: int =
                 [*batch.columns, pa.array(found), pa.array((found >= THRESHOLD).astype("i4"))], names=[*batch.schema.names, "score", "predicted"]
             )
 
-    taken = {"score", "predicted"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns with reserved names: {sorted(taken)}")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
     return docs.mapInArrow(dot, f"{schema}, score double, predicted int")

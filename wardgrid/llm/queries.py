@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality
 from .arrow_ids import arrow_ids
+from .decontaminate import contaminated_documents
+from .html_extract import extract
 from .hyperminhash import near_duplicates
 from .language import identify
 from .packing import pack
@@ -34,6 +37,23 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), labels, learn=quality.LEARN)
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_recurrent_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))

@@ -121,23 +121,19 @@ _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 def window_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """Per document what stays: doc_id, n_words, n_removed, kept_sha256, and the ``kept`` words if asked for.
 
-    With ``with_text`` the other columns of ``docs`` stay too, the text under its name ``text``.
+    With ``with_text`` the other columns of ``docs`` stay too; those named like the results are replaced by them.
     """
     spans = repeats.by_document(repeats.staged(repeated_spans(docs, window), "spans"))
-    taken = {"doc", "mark", "spans", "n_words", "n_removed", "kept_sha256", "kept"}
-    if with_text and taken & set(docs.columns):
-        raise ValueError(f"columns with reserved names: {sorted(taken & set(docs.columns))}")
-    if with_text:
-        source = docs.withColumns(dict(zip(("doc", "mark"), repeats._identity()[:2], strict=True)))
-    else:
-        source = repeats.identified_with_id(docs)
-    joined = source.join(spans, ["doc", "mark"], "left").drop("doc", "mark")
-    carried = [f for f in joined.schema.fields if f.name != "spans"] if with_text else []
+    spans = spans.withColumnsRenamed({"doc": "_span_doc", "mark": "_span_mark", "spans": "_spans"})
+    source = docs.drop("n_words", "n_removed", "kept_sha256", "kept") if with_text else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = source.withColumns(dict(zip(("_span_doc", "_span_mark"), repeats._identity()[:2], strict=True)))
+    joined = source.join(spans, ["_span_doc", "_span_mark"], "left").drop("_span_doc", "_span_mark")
+    carried = [f for f in joined.schema.fields if f.name != "_spans"] if with_text else []
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(batch["text"], batch["spans"], strict=True):
+            for text, spans in zip(batch["text"], batch["_spans"], strict=True):
                 words = (text.as_py() or "").encode().split()
                 gone = repeats.covered(len(words), spans.values) if spans.is_valid else np.zeros(len(words), bool)
                 kept = b" ".join(compress(words, ~gone))
