@@ -9,9 +9,11 @@ Empty buckets borrow from a fixed order of others, so each band of 5 registers s
 2. In each band's group every node is paired with the least node only: rows grow with the input.
    Pairs that the sketches rule out (corrected for chance collisions, five standard deviations) go;
    the others are confirmed on full sets.
-3. Components of the confirmed links follow. Groups that still hold nodes of several components pair
-   the nodes outside their largest component with the rest. Groups where those are many are first
-   split by a second band, which a linked pair shares in 39 tries as surely as one band in 40.
+3. Components of the confirmed links follow. In groups that still hold nodes of several components, a node
+   goes if more than a fifth of its shingles stand in no other such node: nothing can be similar enough to it
+   (a large family of loosely related texts ends here, in a count). The nodes outside a group's
+   largest component are then paired with the rest; groups where they are many are first split
+   by a second band, which a linked pair shares in 39 tries as surely as one band in 40.
 
 Defined cases: null or wordless texts have the empty set and are linked with nothing; fewer words than a
 shingle make one; repeated rows are copies; rows that share a doc_id are one document; a component whose
@@ -158,11 +160,10 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(judge, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are as similar as asked for."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select("node", "place.doc", "place.mark")
-    texts = repeats.identified(docs).join(wanted, ["doc", "mark"]).select("node", "text")
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, items): the full sets of the wanted nodes, sorted, from one document of each."""
+    places = nodes.join(wanted, "node", "left_semi").select("node", "place.doc", "place.mark")
+    texts = repeats.identified(docs).join(places, ["doc", "mark"]).select("node", "text")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +172,11 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int
                 sets = [hashes[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch["node"].slice(row, len(sets)), pa.array(sets, pa.binary())], names=["node", "items"])
 
-    sets = staged(texts.mapInArrow(full_sets, "node long, items binary").dropDuplicates(["node"]), "sets")
+    return texts.mapInArrow(full_sets, "node long, items binary").dropDuplicates(["node"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets are as similar as asked for."""
     side = lambda end: sets.select(F.col("node").alias(end), F.col("items").alias(f"items_{end}"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,43 +192,80 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(confirm, "a long, b long")
 
 
-def _hub_pairs(banded: DataFrame) -> DataFrame:
-    hubs = staged(
-        banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").select("band", "hub"), "hubs"
-    )
-    return banded.join(hubs, "band").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+def _sharing(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, size, shared): how many shingles each wanted node has, and how many of them stand in another one too.
 
+    Shingles are counted with one row per shingle and task.
+    """
 
-def _outsider_pairs(banded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs across components, of nodes outside their group's largest component with the others of the group."""
-    rooted = staged(_with_root(banded, roots), "rooted")
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, items in zip(batch["node"], batch["items"], strict=True):
+                own = np.frombuffer(items.as_buffer(), _U)
+                of = np.full(len(own), node.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(seqhash.signed(own))], names=["node", "item"])
+
+    each = sets.join(wanted, "node", "left_semi").mapInArrow(explode, "node long, item long")
+    alone = each.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    sizes = sets.join(wanted, "node", "left_semi").select("node", (F.octet_length("items") / 8).cast("long").alias("size"))
+    return sizes.join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _may_link(one: str, two: str, percent: int) -> str:
+    """SQL condition: sizes and shared shingles of two nodes allow the similarity asked for."""
+    most = f"least({one}shared, {two}shared)"
+    return f"100 * {most} >= {percent} * ({one}size + {two}size - {most})"
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """Groups with nodes of several components: band, main (the largest component), outside (nodes of others)."""
     sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
-    mixed = (
+    return (
         sizes.groupBy("band")
         .agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
         .where("roots > 1")
         .select("band", F.col("top.root").alias("main"), (F.col("all") - F.col("top.n")).alias("outside"))
     )
-    mixed = staged(mixed, "mixed")
-    small = _across(rooted, mixed.where(F.col("outside") <= OUTSIDERS))
-    crowded = rooted.join(mixed.where(F.col("outside") > OUTSIDERS).select("band"), "band")
-    others = banded.withColumnRenamed("band", "second")
+
+
+def _crowds(banded: DataFrame, roots: DataFrame, sharing: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (band, node, root, size, shared) of mixed groups whose node may still be linked, and ``_mixed`` of them."""
+    rooted = _with_root(banded, roots).join(sharing, "node").where(f"100 * shared >= {percent} * size")
+    rooted = staged(rooted, "rooted")
+    mixed = staged(_mixed(rooted), "mixed")
+    return staged(rooted.join(mixed.select("band"), "band", "left_semi"), "meeting"), mixed
+
+
+def _central_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each group's node with the least share of shingles of its own, with the group's nodes of other components."""
+    order = F.struct((F.col("shared") / F.col("size")).alias("share"), (-F.col("node")).alias("order"), "node", "root", "size", "shared")
+    centre = staged(rows.groupBy("band").agg(F.max(order).alias("centre")).select("band", "centre.*").drop("order", "share").toDF("band", "c_node", "c_root", "c_size", "c_shared"), "centres")
+    met = rows.join(centre, "band").where("root <> c_root").where(_may_link("", "c_", percent))
+    return met.select(F.least("c_node", "node").alias("a"), F.greatest("c_node", "node").alias("b")).distinct()
+
+
+def _outsider_pairs(rows: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components, of nodes outside their group's largest component with the others of the group."""
+    small = _across(rows, mixed.where(F.col("outside") <= OUTSIDERS), percent)
+    crowded = rows.join(mixed.where(F.col("outside") > OUTSIDERS).select("band"), "band")
+    others = rows.select("node", F.col("band").alias("second"))
     split = (
         crowded.join(others, "node")
         .where("band <> second")
-        .select(F.xxhash64(F.least("band", "second"), F.greatest("band", "second")).alias("band"), "node", "root")
+        .select(F.xxhash64(F.least("band", "second"), F.greatest("band", "second")).alias("band"), "node", "root", "size", "shared")
         .distinct()
     )
     split = staged(split, "split")
     again = split.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.min("root").alias("main")).where("roots > 1")
-    return small.unionByName(_across(split, staged(again.select("band", "main"), "again"))).distinct()
+    return small.unionByName(_across(split, staged(again.select("band", "main"), "again"), percent)).distinct()
 
 
-def _across(rooted: DataFrame, mixed: DataFrame) -> DataFrame:
-    rows = rooted.join(mixed.select("band", "main"), "band")
-    outside = rows.where("root <> main").select("band", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    meet = outside.join(rows.select("band", "node", "root", "main"), "band").where("x_root <> root and (root = main or x < node)")
-    return meet.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+def _across(rows: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
+    rows = rows.join(mixed.select("band", "main"), "band")
+    outside = rows.where("root <> main").select("band", *(F.col(c).alias(f"x_{c}") for c in ("node", "root", "size", "shared")))
+    meet = outside.join(rows, "band").where("x_root <> root and (root = main or x_node < node)").where(_may_link("", "x_", percent))
+    return meet.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
 
 
 def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -240,14 +282,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "nodes",
     )
     banded = staged(_banded(nodes), "bands")
-    first = staged(_plausible(_hub_pairs(banded), nodes, percent), "pairs")
-    links = staged(_confirmed(first, nodes, docs, shingle, percent), "links")
+    groups = staged(banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").select("band", "hub"), "hubs")
+    banded = staged(banded.join(groups, "band"), "groups")
+    sets = staged(_sets(banded.select("node").distinct(), nodes, docs, shingle), "sets")
+    hubs = banded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    first = staged(_plausible(hubs, nodes, percent), "pairs")
+    links = staged(_confirmed(first, sets, percent), "links")
+    roots = staged(components(links), "roots")
+    banded = banded.drop("hub")
+    met = _with_root(banded, roots)
+    met = staged(met.join(_mixed(met).select("band"), "band", "left_semi").select("node").distinct(), "met")
+    sharing = staged(_sharing(sets, met), "sharing")
+    rows, _ = _crowds(banded, roots, sharing, percent)
+    central = _central_pairs(rows, percent).join(first, ["a", "b"], "left_anti")
+    central = staged(_plausible(central, nodes, percent), "central")
+    links = staged(links.unionByName(_confirmed(central, sets, percent)), "links")
     roots = staged(components(links), "roots")
-    in_groups = staged(banded.join(banded.groupBy("band").count().where("count > 1").select("band"), "band", "left_semi"), "groups")
-    second = _outsider_pairs(in_groups, roots).join(first, ["a", "b"], "left_anti")
+    rows, mixed = _crowds(banded, roots, sharing, percent)
+    second = _outsider_pairs(rows, mixed, percent).join(first, ["a", "b"], "left_anti").join(central, ["a", "b"], "left_anti")
     second = staged(_plausible(second, nodes, percent), "second")
-    if second.limit(1).count():
-        more = _confirmed(second, nodes, docs, shingle, percent)
+    more = staged(_confirmed(second, sets, percent), "more")
+    if more.limit(1).count():
         roots = staged(components(links.unionByName(more)), "roots")
     rooted = _with_root(nodes.select("node", "least"), roots)
     least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
