@@ -9,11 +9,11 @@ Empty buckets borrow from a fixed order of others, so each band of 5 registers s
 2. In each band's group every node is paired with the least node only: rows grow with the input.
    Pairs that the sketches rule out (corrected for chance collisions, five standard deviations) go;
    the others are confirmed on full sets.
-3. Components of the confirmed links follow. In groups that still hold nodes of several components, a node
-   goes if more than a fifth of its shingles stand in no other such node: nothing can be similar enough to it
-   (a large family of loosely related texts ends here, in a count). The nodes outside a group's
-   largest component are then paired with the rest; groups where they are many are first split
-   by a second band, which a linked pair shares in 39 tries as surely as one band in 40.
+3. Components of the confirmed links follow. In groups that still hold nodes of several components, shingles that
+   stand in one such node only are counted: they bound what a node and what a pair can reach, and rule out
+   loosely related texts. The node with the least share of its own is then paired with its group.
+4. What is left: nodes outside a small group's largest component are paired with the rest; large groups
+   are compared in blocks, two bounded blocks to a task, by matrix products that emit links only.
 
 Defined cases: null or wordless texts have the empty set and are linked with nothing; fewer words than a
 shingle make one; repeated rows are copies; rows that share a doc_id are one document; a component whose
@@ -37,8 +37,8 @@ SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 40, 5
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
-#: Nodes outside a group's largest component before the group is split by a second band.
-OUTSIDERS = 32
+#: Pairs of a mixed group that are compared one by one; larger groups are compared in blocks of so many nodes.
+FEW_PAIRS, BLOCK = 256, 256
 
 _U = np.uint64
 _SKETCH = "doc_id long, doc long, mark short, n_shingles long, node long, sketch binary"
@@ -219,13 +219,13 @@ def _may_link(one: str, two: str, percent: int) -> str:
 
 
 def _mixed(rooted: DataFrame) -> DataFrame:
-    """Groups with nodes of several components: band, main (the largest component), outside (nodes of others)."""
+    """Groups with nodes of several components: band, main (the largest component), all (its nodes), outside (nodes of others)."""
     sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
     return (
         sizes.groupBy("band")
         .agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
         .where("roots > 1")
-        .select("band", F.col("top.root").alias("main"), (F.col("all") - F.col("top.n")).alias("outside"))
+        .select("band", F.col("top.root").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("outside"))
     )
 
 
@@ -246,19 +246,55 @@ def _central_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _outsider_pairs(rows: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components, of nodes outside their group's largest component with the others of the group."""
-    small = _across(rows, mixed.where(F.col("outside") <= OUTSIDERS), percent)
-    crowded = rows.join(mixed.where(F.col("outside") > OUTSIDERS).select("band"), "band")
-    others = rows.select("node", F.col("band").alias("second"))
-    split = (
-        crowded.join(others, "node")
-        .where("band <> second")
-        .select(F.xxhash64(F.least("band", "second"), F.greatest("band", "second")).alias("band"), "node", "root", "size", "shared")
-        .distinct()
-    )
-    split = staged(split, "split")
-    again = split.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.min("root").alias("main")).where("roots > 1")
-    return small.unionByName(_across(split, staged(again.select("band", "main"), "again"), percent)).distinct()
+    """Pairs across components in small groups, of nodes outside the largest component with the others."""
+    return _across(rows, mixed.where(F.col("outside") * F.col("all") <= FEW_PAIRS), percent).distinct()
+
+
+def _links_in_blocks(rows: DataFrame, mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components in large groups, found block by block.
+
+    Groups with one largest component form a unit; its nodes are dealt to blocks of about ``BLOCK``. A task
+    holds two blocks and counts the common shingles of all their nodes by matrix products; only links leave it.
+    """
+    large = mixed.where(F.col("outside") * F.col("all") > FEW_PAIRS).select("band", "main")
+    unit = staged(rows.join(large, "band").select("main", "node", "root").distinct(), "units")
+    many = unit.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    placed = unit.join(many, "main").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(sets, "node")
+    blocks = staged(placed.groupBy("main", "block").agg(F.collect_list(F.struct("node", "root", "items")).alias("nodes")), "blocks")
+    one = blocks.select("main", F.col("block").alias("one"), F.col("nodes").alias("nodes_a"))
+    two = blocks.select("main", F.col("block").alias("two"), F.col("nodes").alias("nodes_b"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch["nodes_a"], batch["nodes_b"], strict=True):
+                (node_x, root_x, items_x), (node_y, root_y, items_y) = (
+                    (v.values.field("node").to_numpy(), v.values.field("root").to_numpy(), [np.frombuffer(b.as_buffer(), _U) for b in v.values.field("items")]) for v in (x, y)
+                )
+                both = _common(items_x, items_y)
+                sizes = [np.array([len(s) for s in items]) for items in (items_x, items_y)]
+                linked = 100 * both >= percent * (sizes[0][:, None] + sizes[1] - both)
+                i, k = np.nonzero(linked & (root_x[:, None] != root_y))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node_x[i], node_y[k])), pa.array(np.maximum(node_x[i], node_y[k]))], names=["a", "b"])
+
+    return one.join(two, "main").where("one <= two").select("nodes_a", "nodes_b").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many items each set of ``one`` shares with each set of ``two``."""
+    shared = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(two)), assume_unique=True)
+    found = np.zeros((len(one), len(two)), np.int64)
+    for low in range(0, len(shared), 8192):
+        part = shared[low : low + 8192]
+        sides = []
+        for sets in (one, two):
+            table = np.zeros((len(sets), len(part)), np.float32)
+            for row, items in enumerate(sets):
+                at = np.searchsorted(part, items)
+                at = at[(at < len(part)) & (part[np.minimum(at, len(part) - 1)] == items)]
+                table[row, at] = 1
+            sides.append(table)
+        found += (sides[0] @ sides[1].T).astype(np.int64)
+    return found
 
 
 def _across(rows: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
@@ -301,7 +337,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows, mixed = _crowds(banded, roots, sharing, percent)
     second = _outsider_pairs(rows, mixed, percent).join(first, ["a", "b"], "left_anti").join(central, ["a", "b"], "left_anti")
     second = staged(_plausible(second, nodes, percent), "second")
-    more = staged(_confirmed(second, sets, percent), "more")
+    more = _confirmed(second, sets, percent).unionByName(_links_in_blocks(rows, mixed, sets, percent))
+    more = staged(more, "more")
     if more.limit(1).count():
         roots = staged(components(links.unionByName(more)), "roots")
     rooted = _with_root(nodes.select("node", "least"), roots)
