@@ -152,3 +152,65 @@ def test_stream_loads_new_and_resubmitted_days(spark, tmp_path):
     assert {r.fecha.day: r.total for r in spark.read.parquet(refused).collect()} == {9: 4, 10: 0}
     got = spark.read.schema(schemas.RAW_VISITS).parquet(table).where("fecha_atencion > '2026-10-08'")
     assert {(r.fecha_atencion, r.num_atenciones) for r in got.collect()} == {(dt.date(2026, 10, 11), 1)}
+
+
+def test_stream_keeps_all_files_of_a_day(spark, tmp_path):
+    """Files of one day in several batches and starts, a resubmitted file, a name in capitals."""
+    def landed(folder, number, n, ending="csv"):
+        folder.mkdir(exist_ok=True)
+        lines = [HEADER, f"{DAYS[0]:%d/%m/%Y};CLI-{number};Ate;60 +;J45;{n}", ""]
+        (folder / f"c{number}_{DAYS[0]}.{ending}").write_text("\n".join(lines))
+
+    for size in (1, 2, 1000):
+        base = tmp_path / str(size)
+        base.mkdir()
+        lake, table, state = (str(base / n) for n in ("lake", "t", "state"))
+
+        def run(lake=lake, table=table, state=state, size=size, base=base):
+            ingest_landed(spark, str(base / "in"), lake, table, state, files_per_batch=size).awaitTermination()
+            rows = spark.read.schema(schemas.RAW_VISITS).parquet(table).collect()
+            return sorted((r.codigo_clinica, r.num_atenciones) for r in rows)
+
+        landed(base / "in", 1, 10)
+        landed(base / "in", 2, 20, "CSV")
+        assert run() == [("CLI-1", 10), ("CLI-2", 20)]
+        landed(base / "in", 3, 30, "txt")
+        assert run() == [("CLI-1", 10), ("CLI-2", 20), ("CLI-3", 30)]
+        (base / "in" / f"c1_{DAYS[0]}.csv").unlink()
+        landed(base / "in", 11, 11)
+        assert run() == [("CLI-11", 11), ("CLI-2", 20), ("CLI-3", 30)]
+
+
+def test_station_average_ignores_row_order(spark):
+    import random
+
+    from wardgrid.operators.stations import station_day
+
+    rows = [(DAYS[0], s, f"{k}", "n", "f", (s * 7 + k * 13 % 17) / 1000 + k / 200, 75.05, 0.0, 0.0) for s in range(300) for k in range(8)]
+    names = "fecha date, estacion_id long, sensor_id string, estacion_nombre string, fuente string, valor_promedio double, cobertura_pct double, latitud double, longitud double"
+    results = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        found = station_day(spark.createDataFrame(rows, names).repartition(3 + seed)).collect()
+        results.append(sorted((r.estacion_id, r.pm25_promedio_24h, r.cobertura_pct) for r in found))
+    assert results[0] == results[1]
+    from decimal import ROUND_HALF_UP, Decimal
+
+    for station, value, _ in results[0]:
+        own = [Decimal(str(round(r[5], 6))) for r in rows if r[1] == int(station)]
+        assert Decimal(str(value)) == (sum(own) / len(own)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def test_all_landed_sensors_are_staged(spark, tmp_path):
+    day = DAYS[0]
+    stations, days = api_pages(tmp_path / "api", day, 1.5)
+    page = json.loads((tmp_path / "api" / "stations" / "1.json").read_text())
+    item = (tmp_path / "api" / "days" / "sensor_id=5001" / "1.json").read_text()
+    sensor = page["results"][0]["sensors"][0]
+    page["results"][0]["sensors"] = [{**sensor, "id": 6000 + i} for i in range(50)]
+    (tmp_path / "api" / "stations" / "1.json").write_text(json.dumps(page))
+    for i in range(50):
+        folder = tmp_path / "api" / "days" / f"sensor_id={6000 + i}"
+        folder.mkdir()
+        (folder / "1.json").write_text(item)
+    assert pipeline.stage_air(spark, stations, days, str(tmp_path / "lake"), day).count() == 50

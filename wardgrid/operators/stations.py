@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+#: Readings have three decimals; sums of this type are exact.
+EXACT = "decimal(18,6)"
+
 
 def station_day(
     readings: DataFrame,
@@ -23,9 +26,15 @@ def station_day(
     Two levels. The first groups by every text column and keeps only numeric
     buffers, which Spark hash-aggregates in each map task; the second takes the
     text maxima and the distinct sensors over the few rows left. A station-day
-    with most of the readings is already reduced before the shuffle.
+    with most of the readings is already reduced before the shuffle. Values and
+    coverages are summed as decimals, so rounding does not depend on the order of rows.
     """
-    measures = {"v": value, "c": coverage, "a": latitude, "o": longitude}
+    measures = {
+        "v": F.col(value).cast(EXACT),
+        "c": F.col(coverage).cast(EXACT),
+        "a": F.col(latitude),
+        "o": F.col(longitude),
+    }
     per_sensor = readings.where(F.col(value).isNotNull()).groupBy(
         F.col(day).alias("fecha"),
         F.col(station).cast("string").alias("estacion_id"),

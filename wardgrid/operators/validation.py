@@ -142,12 +142,15 @@ def over_limit(summary: DataFrame, max_rate: float) -> DataFrame:
     return summary.where((F.col("total") == 0) | (F.col("tasa_rechazo") > F.lit(float(max_rate))))
 
 
-def enforce_rejection_rate(summary: DataFrame, max_rate: float, shown: int = 20) -> None:
-    """Raise when any summary row is over the limit."""
-    for row in over_limit(summary, max_rate).limit(shown).collect():
+def enforce_rejection_rate(summary: DataFrame, max_rate: float) -> None:
+    """Raise when any summary row is over the limit; the message shows one and says how many there are."""
+    failing = over_limit(summary, max_rate)
+    for row in failing.limit(1).collect():
+        many = failing.count()
+        more = f" (and {many - 1} more)" if many > 1 else ""
         if row.total == 0:
-            raise QualityGateError("no data rows")
+            raise QualityGateError(f"no data rows{more}")
         raise QualityGateError(
             f"{row.tasa_rechazo:.1%} of the rows were rejected ({row.rechazadas}/{row.total}), over the "
-            f"limit of {max_rate:.0%}; see the 'cuarentena' layer"
+            f"limit of {max_rate:.0%}; see the 'cuarentena' layer{more}"
         )

@@ -113,7 +113,7 @@ def load_visits(
 
 
 def stage_air(
-    spark: SparkSession, locations: str, pages: str, lake: str, day: dt.date, params: Parameters = DEFAULTS
+    spark: SparkSession, locations: str, pages: str, lake: str, day: dt.date
 ) -> DataFrame:
     """Landed API pages to one JSON line per sensor with a reading.
 
@@ -126,7 +126,7 @@ def stage_air(
         .json(locations)
         .select(F.inline("results"))
     )
-    chosen = active_sensors(found, F.lit(day)).orderBy("estacion_id", "sensor_id").limit(params.max_sensors)
+    chosen = active_sensors(found, F.lit(day))  # all of them: the pages have landed already
     page_schema = schemas.T.StructType(
         [*schemas.API_DAYS_PAGE.fields, schemas.T.StructField("sensor_id", schemas.T.StringType())]
     )

@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..errors import QualityGateError
+from ..errors import QualityGateError, StructureError
 from ..operators.validation import over_limit
 from ..params import DEFAULTS, Parameters
-from ..plans.pipeline import load_visits, stage_visits
+from ..plans.pipeline import day_of_file, load_visits, stage_visits
 
 _FILE = T.StructType(
     [
@@ -26,18 +26,28 @@ _FILE = T.StructType(
 )
 
 
+#: Names of visit files, in any case.
+VISIT_FILES = "*.{[cC][sS][vV],[tT][xX][tT]}"
+
+
 def landed_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Stream of new file names; contents are never read by this source."""
     return (
         spark.readStream.format("binaryFile")
         .schema(_FILE)
-        .option("pathGlobFilter", "*.{csv,txt}")
+        .option("pathGlobFilter", VISIT_FILES)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")
     )
 
 
+def files_of_days(spark: SparkSession, folder: str, days: DataFrame) -> DataFrame:
+    """All landed files of the given days; names only."""
+    listed = spark.read.format("binaryFile").schema(_FILE).option("pathGlobFilter", VISIT_FILES).load(folder).select("path")
+    return listed.join(days, day_of_file(F.col("path")) == F.col("fecha"), "left_semi")
+
+
 def ingest_landed(
     spark: SparkSession,
     folder: str,
@@ -57,8 +67,11 @@ def ingest_landed(
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        # bounded by files_per_batch, and names only
-        paths = [row.path for row in batch.collect()]
+        days = batch.select(day_of_file(F.col("path")).alias("fecha")).distinct()
+        if not days.where("fecha is null").isEmpty():
+            raise StructureError("a file path carries no day")
+        # the files of at most files_per_batch days, and names only
+        paths = [row.path for row in files_of_days(spark, folder, days).collect()]
         if not paths:
             return
         summary = stage_visits(spark, paths, lake, params, strict=False)
