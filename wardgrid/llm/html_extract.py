@@ -28,7 +28,7 @@ from .html_blocks import Block, blocks
 
 PATH, WORDS, HIDDEN = 256, 16, 12
 INPUTS = PATH + WORDS + 3
-PAGES, EPOCHS, TOGETHER, RATE, SEED = 700, 4, 16, 0.01, 7
+PAGES, EPOCHS, TOGETHER, RATE, SEED = 1600, 5, 16, 0.01, 7
 #: Blocks of all pages in one batch, padding included.
 BATCH_BLOCKS = 20_000
 
