@@ -29,8 +29,6 @@ from ..functions.text import WHITESPACE, canonical_header, strip
 from .scratch import write_through
 
 FIELD_LIMIT = 131072  # fixed value: longest field the file format accepts
-# a row of the block table takes some 300 bytes, so this many stay below 200 MB
-BROADCAST_BLOCKS = 500_000
 _ASCII_BLANKS = " \t\n\r\x0b\x0c"
 _LINE_BREAKS = "[\r\n\x0b\x0c\x1c-\x1e\x85  ]"
 # fixed values: bytes 0x80-0x9F in Windows-1252; the five unassigned ones are absent
@@ -209,22 +207,17 @@ def _census(lines: DataFrame) -> DataFrame:
     )
 
 
-def _heads(lines: DataFrame, census: DataFrame, small: bool) -> DataFrame:
+def _heads(lines: DataFrame, census: DataFrame) -> DataFrame:
     """First line of every file, by the row id the census found.
 
     A second reading is cheaper than keeping text in the census: with fixed-width
     buffers only, the census is hash-aggregated in generated code.
     """
     first = census.where("block = 0").select("path", F.col("first_seq").alias("seq"))
-    found = lines.where("block = 0").join(_sized(first, small), ["path", "seq"])
+    found = lines.where("block = 0").join(first, ["path", "seq"])
     return found.select("path", F.col("raw").cast("binary").alias("head"))
 
 
-def _sized(table: DataFrame, small: bool) -> DataFrame:
-    """Broadcast a table whose rows were counted; otherwise leave the join to Spark."""
-    return F.broadcast(table) if small else table
-
-
 def _file_table(census: DataFrame, heads: DataFrame, listed: DataFrame) -> DataFrame:
     """One row per listed file: encoding, separator, first line, first error found."""
     found = census.groupBy("path").agg(
@@ -419,8 +412,7 @@ def scan_delimited(
     )
 
     census = write_through(_census(lines), "census")
-    small = census.count() <= BROADCAST_BLOCKS
-    known = _file_table(census, _heads(lines, census, small), listed)
+    known = _file_table(census, _heads(lines, census), listed)
     files = _with_header(write_through(known, "files"), columns, synonyms)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # a crossing header is only known after stitching, so its own error is ignored here
@@ -437,7 +429,7 @@ def scan_delimited(
     # they are cut, changed since the census, and must not be dropped silently
     index = F.col("seq") - F.col("first_seq")
     numbered = (
-        lines.join(_sized(blocks, small), ["path", "block"], "left")
+        lines.join(blocks, ["path", "block"], "left")
         .where(F.coalesce("usable", F.lit(True)))
         .withColumns(
             {
