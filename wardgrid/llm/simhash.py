@@ -95,10 +95,7 @@ def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = docs.where("doc_id is not null")
     cuts = sorted(set(known.approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.5 / blocks))) if blocks > 1 else []
-    number = F.lit(0)
-    for half in (1 << i for i in range(max(1, len(cuts)).bit_length() - 1, -1, -1)):  # binary search: descending
-        at = F.element_at(F.array(*map(F.lit, cuts)), F.least(number + half, F.lit(len(cuts)))) if cuts else F.lit(0.0)
-        number = F.when((number + half <= len(cuts)) & (F.col("doc_id") >= at), number + half).otherwise(number)
+    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: F.col("doc_id") >= cut)) if cuts else F.lit(0)
     numbered = docs.withColumn("block", F.coalesce(F.lit(len(cuts)) - number, F.lit(len(cuts) + 1)).cast("int"))
     numbered = numbered.withColumn("block", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.col("block")))
     heads = numbered.groupBy("block").agg(F.max("doc_id").alias("head")).collect()  # one row per block
