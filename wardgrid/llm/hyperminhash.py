@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats, seqhash
-from .components import components
+from .components import components, extended
 from .repeats import staged
 
 SHINGLE, PERCENT = 4, 80
@@ -332,15 +332,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows, _ = _crowds(banded, roots, sharing, percent)
     central = _central_pairs(rows, percent).join(first, ["a", "b"], "left_anti")
     central = staged(_plausible(central, nodes, percent), "central")
-    links = staged(links.unionByName(_confirmed(central, sets, percent)), "links")
-    roots = staged(components(links), "roots")
+    roots = staged(extended(roots, _confirmed(central, sets, percent)), "roots")
     rows, mixed = _crowds(banded, roots, sharing, percent)
     second = _outsider_pairs(rows, mixed, percent).join(first, ["a", "b"], "left_anti").join(central, ["a", "b"], "left_anti")
     second = staged(_plausible(second, nodes, percent), "second")
     more = _confirmed(second, sets, percent).unionByName(_links_in_blocks(rows, mixed, sets, percent))
-    more = staged(more, "more")
-    if more.limit(1).count():
-        roots = staged(components(links.unionByName(more)), "roots")
+    roots = staged(extended(roots, more), "roots")
     rooted = _with_root(nodes.select("node", "least"), roots)
     least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = staged(rooted.join(least, "root").select("node", "component_id"), "named")
