@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer file, one encoding per distinct word.
 
 The file's pieces never span ASCII white space and its normal forms do not cross it, so a text's ids are those
-of its words in order. Each slice of a batch encodes its distinct words once; words met before are kept in a
-table of bounded size per Python worker.
+of its words in order. Each slice of a batch encodes its distinct words once; words met before are kept in
+arrays of bounded size per Python worker.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ import pyarrow as pa
 
 from . import seqhash
 
-#: Words a worker remembers; then it starts anew. This bounds memory and changes no result.
+#: Words a worker remembers, with eight ids each on average; then it starts anew. This bounds memory and changes no result.
 REMEMBERED = 600_000
-_KNOWN: dict[str, dict[int, bytes]] = {}
+#: Per tokenizer file: sorted word hashes, where the ids of each begin, how many they are, and all ids.
+_KNOWN: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+_NONE = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32))
 
 
 def default_path() -> str:
@@ -35,19 +37,26 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _word_ids(path: str, words: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """Ids of each distinct word (by hash), as bytes of 32-bit numbers."""
-    known = _KNOWN.setdefault(path, {})
-    if len(known) > REMEMBERED:
-        known.clear()
-    keys = words.tolist()
-    new = [i for i, k in enumerate(keys) if k not in known]
-    for low in range(0, len(new), 20_000):
-        part = new[low : low + 20_000]
-        texts = [data[starts[first[i]] : ends[first[i]]].tobytes().decode() for i in part]
-        for i, coded in zip(part, _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            known[keys[i]] = np.array(coded.ids, np.uint32).tobytes()
-    return [known[k] for k in keys]
+def _word_ids(path: str, words: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each distinct word (by ascending hash) where its ids begin and how many they are; and the ids."""
+    hashes, begins, sizes, flat = _KNOWN.get(path, _NONE)
+    if len(hashes) > REMEMBERED or len(flat) > 8 * REMEMBERED:
+        hashes, begins, sizes, flat = _NONE
+    place = np.searchsorted(hashes, words)
+    new = np.flatnonzero(~np.isin(words, hashes, assume_unique=True))
+    if len(new):
+        counts, coded = [], [flat]
+        for low in range(0, len(new), 5_000):
+            texts = [data[starts[i] : ends[i]].tobytes().decode() for i in first[new[low : low + 5_000]]]
+            ids = [e.ids for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+            counts += map(len, ids)
+            coded.append(np.fromiter((i for of in ids for i in of), np.uint32))
+        past = np.cumsum(counts) + len(flat)
+        begins, sizes = np.insert(begins, place[new], past - counts), np.insert(sizes, place[new], counts)
+        hashes, flat = np.insert(hashes, place[new], words[new]), np.concatenate(coded)
+        _KNOWN[path] = hashes, begins, sizes, flat
+        place = np.searchsorted(hashes, words)
+    return begins[place], sizes[place], flat
 
 
 def encoded(column: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -55,13 +64,10 @@ def encoded(column: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.
     for row, data, at in seqhash.slices(column, 4 * seqhash.SLICE):
         starts, ends, before = seqhash.word_bounds(data, at)
         words, first, inverse = np.unique(seqhash.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        coded = _word_ids(path, words, first, data, starts, ends)
-        sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-        flat = np.frombuffer(b"".join(coded), np.uint32)
-        begins = np.cumsum(sizes) - sizes
+        begins, sizes, flat = _word_ids(path, words, first, data, starts, ends)
         # closing ids are words of their own, each after the last word of its text
         flat = np.append(flat, np.uint32(end_id))
-        word = np.insert(inverse, before[1:], len(coded))
+        word = np.insert(inverse, before[1:], len(words))
         sizes, begins = np.append(sizes, 1), np.append(begins, len(flat) - 1)
         length = sizes[word]
         past = np.cumsum(length)

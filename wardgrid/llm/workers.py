@@ -1,4 +1,4 @@
-"""Let Python workers import this package where it isn't installed for them."""
+"""Let Python workers import this package where it isn't installed for them, and give freed memory back."""
 
 from __future__ import annotations
 
@@ -7,11 +7,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Workers are kept for later stages; with these the arrays of a stage don't stay with them. A session's own values hold.
+GIVE_BACK = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "4194304"}
 
 
 def importable(spark: SparkSession) -> SparkSession:
     """Add the package's folder to the workers' path; on a cluster it must be installed or shipped with ``addPyFile``."""
     environment = spark.sparkContext.environment
+    for name, value in GIVE_BACK.items():
+        environment.setdefault(name, value)
     paths = environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
         environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
