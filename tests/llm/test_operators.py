@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wardgrid.llm import arrow_ids, decontaminate, html_blocks, html_extract, hyperminhash, language, packing
@@ -243,3 +244,15 @@ def test_decontamination(session, odd):
     assert found == {(1, 0), (2, 1), (4, 900)}
     assert decontaminate.contaminated_documents(odd, items).count() == 0
     assert decontaminate.clean(odd, items.limit(0)).count() == len(ODD)
+
+
+def test_ids_of_pieces_are_those_of_whole_texts():
+    path = tokens.default_path()
+    atoms = ["a", "B", "'s", "'", "'RE", "reading", "1", "23", "²", "é", "É", "́", "̸", "—", ".", "!!", " ", "  ", "\t", "\n", "\xa0", " ", "İ", "ß", "Σ"]
+    atoms += ["<|", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>", "日本", "🙂", "\x00", "\x1c", "$", "x9", "don't", "'S", "\x85", "ﬁ", "Å", "٣", "हि"]
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(atoms, k=rng.randint(0, 12))) for _ in range(5000)] + ["", None]
+    plain_ids = tokens._tokenizer(path).encode_batch(["" if t is None else t for t in texts], add_special_tokens=False)
+    for row, ids, at in tokens.encoded(pa.array(texts), path, 2):
+        for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+            assert ids[a:b].tolist() == [*plain_ids[row + i].ids, 2]
