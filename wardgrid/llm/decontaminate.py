@@ -1,22 +1,25 @@
 """Benchmark decontamination with spaced seeds.
 
-A word is a run of letters, digits and bytes above 127, ASCII letters lower-cased. Each of three fixed masks of
-``SPAN`` words hashes seven of them and ignores the others, so a substituted word between them does not
-hide a passage. Hashes of documents and of benchmark items are joined; around each hit the two word
-sequences are laid side by side, and the longest stretch that agrees in at least 80 percent of its words counts.
+A word is a run of letters, digits and bytes above 127, ASCII letters lower-cased. Each of four fixed masks
+hashes six words and ignores those between them, so substituted words do not hide a passage. Together the masks hit
+every stretch of ``LEAST`` or more words of which 80 percent agree: a test goes through all substitutions in 13 to
+25 words, and a longer stretch has a part of such a length that agrees as much. Hashes of documents and of benchmark items are
+joined; around each hit the two word sequences are laid side by side, and the longest stretch that agrees
+in at least 80 percent of its words counts.
 A document is contaminated by an item if that stretch has ``LEAST`` words, or all words of a shorter item.
 
 Documents send only what a bitmap of the benchmark's hashes (fixed size, built by tasks) lets through: hits
 and the words around them. A full bitmap would let everything through and change no result.
 
-Defined cases: null texts have no words; items shorter than a mask are compared by their whole word
-sequence, at least ``SHORTEST`` words; repeated rows and repeated items are found each; other columns do no harm;
+Defined cases: null texts have no words; items shorter than ``LEAST`` have masks of their own length, which leave out
+as many blocks of words as words may differ; items need at least ``SHORTEST`` words; repeated rows and repeated items are found each; other columns do no harm;
 empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,12 @@ from . import repeats, seqhash
 from .repeats import staged
 
 #: Fixed masks: 1 is a word that must agree.
-MASKS = ("110100110101", "101011001011", "111001010011")
-SPAN = len(MASKS[0])
+MASKS = ("1101111", "11100001011", "11010100011", "1101010011")
 LEAST, SHORTEST, PERCENT = 13, 5, 80
-BITMAP_BITS = 22
+BITMAP_BITS = 24
 
 _U = np.uint64
+_FACTORS = seqhash.mix(np.arange(1, LEAST + 1, dtype=_U)) | _U(1)
 
 
 def _is_word_byte() -> np.ndarray:
@@ -52,37 +55,44 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seqhash.word_hashes(spaced, starts, ends), before
 
 
-def seeds(values: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, position, hash) of every mask at every place, and of texts shorter than a mask as a whole."""
-    n = max(0, len(values) - SPAN + 1)
-    text = np.searchsorted(before, np.arange(n), "right") - 1
-    inside = np.arange(n) + SPAN <= before[text + 1]
-    places = np.flatnonzero(inside)
-    found = []
-    for number, mask in enumerate(MASKS):
-        h = np.full(len(places), number + 1, _U)
-        for i, bit in enumerate(mask):
-            if bit == "1":
-                h = seqhash.mix(h * _U(0x9E3779B97F4A7C15) + values[places + i])
-        found.append(h)
-    of = text[places]
-    return np.tile(of, len(MASKS)), np.tile(places - before[of], len(MASKS)), np.concatenate(found)
+def short_masks(length: int) -> list[str]:
+    """Masks over a whole short item: some leaves out all blocks in which the words that may differ lie."""
+    errors = length * (100 - PERCENT) // 100
+    blocks = (5 if length == SHORTEST else 3) if errors == 1 else (5 if length == 10 else 4)
+    block = [i * blocks // length for i in range(length)]
+    return ["".join("01"[b not in out] for b in block) for out in combinations(range(blocks), errors)]
 
 
-def _short_lengths(items: DataFrame) -> list[int]:
-    """Lengths below a mask that items have: at most SPAN numbers."""
-    return sorted(r["n"] for r in items.where((F.col("n") >= SHORTEST) & (F.col("n") < SPAN)).select("n").distinct().collect())
+def _hashes(values: np.ndarray, mask: str, number: int) -> np.ndarray:
+    """Of the words that ``mask`` asks for, at each place where it fits into ``values``."""
+    n = len(values) - len(mask) + 1
+    h = np.full(max(0, n), number, _U)
+    for i in np.flatnonzero([bit == "1" for bit in mask]) if n > 0 else ():
+        h += values[i : i + n] * _FACTORS[i]
+    return seqhash.mix(h)
+
+
+def seeds(values: np.ndarray, before: np.ndarray, short: list[int], whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, position, hash) of every mask at every place, and of the masks of short lengths; ``whole``: of these
+    only in texts that have that length."""
+    masks = [(mask, number + 1, 0) for number, mask in enumerate(MASKS)]
+    masks += [(mask, n << 8 | number, n) for n in short for number, mask in enumerate(short_masks(n))]
+    of = np.repeat(np.arange(len(before) - 1), np.diff(before))
+    found = []
+    for mask, number, length in masks:
+        h = _hashes(values, mask, number)
+        text = of[: len(h)]
+        inside = np.arange(len(h)) + len(mask) <= before[text + 1]
+        if whole and length:
+            inside &= np.diff(before)[text] == length
+        place = np.flatnonzero(inside)
+        found.append((text[place], place - before[text[place]], h[place]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _whole(values: np.ndarray, before: np.ndarray, length: int, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As ``seeds``, for all stretches of one short length; ``exact``: of texts that are no longer."""
-    h = seqhash.Rolling(values).every(length)
-    text = np.searchsorted(before, np.arange(len(h)), "right") - 1
-    inside = np.arange(len(h)) + length <= before[np.minimum(text + 1, len(before) - 1)]
-    if exact:
-        inside &= np.diff(before)[np.minimum(text, len(before) - 2)] == length
-    of = text[inside]
-    return of, np.flatnonzero(inside) - before[of], h[inside]
+def _short_lengths(items: DataFrame) -> list[int]:
+    """Lengths below ``LEAST`` that items have: a few numbers."""
+    return sorted(r["n"] for r in items.where((F.col("n") >= SHORTEST) & (F.col("n") < LEAST)).select("n").distinct().collect())
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -103,8 +113,7 @@ def _item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
                 continue
             values = np.frombuffer(b"".join(batch["item"].to_pylist()), _U)
             before = np.append(0, np.cumsum(batch["n"].to_numpy()))
-            found = [seeds(values, before), *(_whole(values, before, n, True) for n in short)]
-            text, place, h = (np.concatenate(c) for c in zip(*found, strict=True))
+            text, place, h = seeds(values, before, short, True)
             yield pa.RecordBatch.from_arrays([batch["item_id"].take(pa.array(text)), pa.array(place.astype("i4")), pa.array(seqhash.signed(h))], names=["item_id", "item_at", "seed"])
 
     return items.where(F.col("n") > 0).mapInArrow(hashed, "item_id long, item_at int, seed long")
@@ -133,8 +142,7 @@ def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int])
             doc, mark = batch["doc"].to_numpy(), batch["mark"].to_numpy()
             for row, data, at in seqhash.slices(batch["text"]):
                 values, before = words(data, at)
-                found = [seeds(values, before), *(_whole(values, before, n, False) for n in short)]
-                text, place, h = (np.concatenate(c) for c in zip(*found, strict=True))
+                text, place, h = seeds(values, before, short, False)
                 hit = bits[(h >> _U(64 - BITMAP_BITS)).astype(np.int64)]
                 text, place, h = text[hit], place[hit], h[hit]
                 order = np.lexsort((place, text))
@@ -147,7 +155,7 @@ def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int])
                 for a, b in zip(first, last, strict=True):
                     t = text[a]
                     low = max(0, place[a] - reach)
-                    high = min(before[t + 1] - before[t], place[b - 1] + SPAN + reach)
+                    high = min(before[t + 1] - before[t], place[b - 1] + LEAST + reach)
                     stretch = values[before[t] + low : before[t] + high].tobytes()
                     for column, value in zip(rows, (doc[row + t], mark[row + t], low, stretch, seqhash.signed(h[a:b]), place[a:b].astype("i4")), strict=True):
                         column.append(value)
