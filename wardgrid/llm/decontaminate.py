@@ -129,7 +129,7 @@ def _bitmap(item_seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
-_STRETCH = "doc long, mark short, base int, words binary, seed array<long>, place array<int>"
+_STRETCH = "doc_id long, doc long, mark long, base int, words binary, seed array<long>, place array<int>"
 
 
 def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int]) -> DataFrame:
@@ -139,7 +139,7 @@ def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int])
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            doc, mark = batch["doc"].to_numpy(), batch["mark"].to_numpy()
+            doc_id, doc, mark = batch["doc_id"], batch["doc"].to_numpy(), batch["mark"].to_numpy()
             for row, data, at in seqhash.slices(batch["text"]):
                 values, before = words(data, at)
                 text, place, h = seeds(values, before, short, False)
@@ -151,18 +151,18 @@ def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int])
                 new[1:] = (text[1:] != text[:-1]) | (place[1:] - place[:-1] > 2 * reach)
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(text))[: len(first)]
-                rows: list[list] = [[] for _ in range(6)]
+                rows: list[list] = [[] for _ in range(7)]
                 for a, b in zip(first, last, strict=True):
                     t = text[a]
                     low = max(0, place[a] - reach)
                     high = min(before[t + 1] - before[t], place[b - 1] + LEAST + reach)
                     stretch = values[before[t] + low : before[t] + high].tobytes()
-                    for column, value in zip(rows, (doc[row + t], mark[row + t], low, stretch, seqhash.signed(h[a:b]), place[a:b].astype("i4")), strict=True):
+                    for column, value in zip(rows, (doc_id[int(row + t)].as_py(), doc[row + t], mark[row + t], low, stretch, seqhash.signed(h[a:b]), place[a:b].astype("i4")), strict=True):
                         column.append(value)
-                types = (pa.int64(), pa.int16(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc", "mark", "base", "words", "seed", "place"])
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc_id", "doc", "mark", "base", "words", "seed", "place"])
 
-    return repeats.identified(docs).mapInArrow(look, _STRETCH)
+    return repeats.identified_with_id(docs).mapInArrow(look, _STRETCH)
 
 
 def longest_agreement(agree: np.ndarray, percent: int = PERCENT) -> tuple[int, int]:
@@ -181,13 +181,13 @@ def longest_agreement(agree: np.ndarray, percent: int = PERCENT) -> tuple[int, i
     return best[1] - best[0], int(agree[best[0] : best[1]].sum())
 
 
-_FOUND = "doc_id long, mark short, item_id long, item_words int, overlap_words int, agreeing_words int"
+_FOUND = "doc_id long, doc long, mark long, item_id long, item_words int, overlap_words int, agreeing_words int"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and item that it contains: doc_id, mark, item_id, item_words, overlap_words, agreeing_words.
+    """One row per document and item that it contains: doc_id, doc, mark, item_id, item_words, overlap_words, agreeing_words.
 
-    ``mark`` tells apart rows that share a doc_id (``repeats.identified``).
+    ``doc`` and ``mark`` tell apart rows that share or lack a doc_id (``repeats.identified``).
     """
     items = staged(_items(benchmark), "items")
     short = _short_lengths(items)
@@ -201,39 +201,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("doc", "mark", "base", "item_id", (F.col("place") - F.col("item_at")).alias("shift"))
         .distinct()
     )
-    side = lines.join(stretches.select("doc", "mark", "base", "words"), ["doc", "mark", "base"]).join(items, "item_id")
+    side = lines.join(stretches.select("doc_id", "doc", "mark", "base", "words"), ["doc", "mark", "base"]).join(items, "item_id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            columns = (batch[c] for c in ("doc", "mark", "base", "item_id", "shift", "words", "item"))
-            for doc, mark, base, item_id, shift, own, other in zip(*columns, strict=True):
+            columns = (batch[c] for c in ("doc_id", "doc", "mark", "base", "item_id", "shift", "words", "item"))
+            for doc_id, doc, mark, base, item_id, shift, own, other in zip(*columns, strict=True):
                 one, two = (np.frombuffer(v.as_buffer(), _U) for v in (own, other))
                 low = shift.as_py() - base.as_py()  # where the item begins in the stretch
                 a, b = max(0, low), min(len(one), low + len(two))
                 length, agreeing = longest_agreement(one[a:b] == two[a - low : b - low])
                 if length >= min(LEAST, len(two)):
-                    rows.append((doc.as_py(), mark.as_py(), item_id.as_py(), len(two), length, agreeing))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            types = (pa.int64(), pa.int16(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                    rows.append((doc_id.as_py(), doc.as_py(), mark.as_py(), item_id.as_py(), len(two), length, agreeing))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in _FOUND.split(", ")])
 
     best = F.max(F.struct("overlap_words", "agreeing_words", "item_words")).alias("best")
     return (
         side.mapInArrow(verify, _FOUND)
-        .groupBy("doc_id", "mark", "item_id").agg(best)
-        .select("doc_id", "mark", "item_id", "best.item_words", "best.overlap_words", "best.agreeing_words")
+        .groupBy("doc_id", "doc", "mark", "item_id").agg(best)
+        .select("doc_id", "doc", "mark", "item_id", "best.item_words", "best.overlap_words", "best.agreeing_words")
     )
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """As ``contaminated``, with doc_id as in ``docs`` and without ``mark``."""
-    found = contaminated(docs, benchmark).drop("mark").distinct()
-    return found.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")))
+    """As ``contaminated``, without ``doc`` and ``mark``: texts that share or lack a doc_id have a row each, equal rows one."""
+    return contaminated(docs, benchmark).drop("doc", "mark")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    found = staged(contaminated(docs, benchmark).select(F.col("doc_id").alias("_contaminated_doc"), F.col("mark").alias("_contaminated_mark")).distinct(), "contaminated")
+    found = staged(contaminated(docs, benchmark).select(F.col("doc").alias("_contaminated_doc"), F.col("mark").alias("_contaminated_mark")).distinct(), "contaminated")
     own = dict(zip(("_contaminated_doc", "_contaminated_mark"), repeats._identity()[:2], strict=True))
     return docs.withColumns(own).join(found, ["_contaminated_doc", "_contaminated_mark"], "left_anti").drop("_contaminated_doc", "_contaminated_mark")

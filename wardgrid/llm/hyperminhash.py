@@ -41,7 +41,7 @@ MANTISSA = 10
 FEW_PAIRS, BLOCK = 256, 256
 
 _U = np.uint64
-_SKETCH = "doc_id long, doc long, mark short, n_shingles long, node long, sketch binary"
+_SKETCH = "doc_id long, doc long, mark long, n_shingles long, node long, sketch binary"
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,8 @@
 """Where windows of one document also stand elsewhere: the steps that suffix and window deduplication share.
 
-Rows of documents are told apart by ``doc`` and ``mark`` (doc_id, null as the least long, and 16 bits
-of the text's hash), so that a repeated or missing doc_id does no harm. A run is a stretch of
+Rows of documents are told apart by ``doc`` and ``mark``, two independent 64-bit hashes of the whole row identity (whether
+there is a doc_id, the doc_id, the text), so that a repeated or missing doc_id does no harm; only rows equal in both
+doc_id and text share them. A run is a stretch of
 neighbouring windows of one document that choose the same part (``seqhash.chosen``):
 doc, mark, low (first start), high (last start), part and body (hashes of the part and of all its elements).
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import write_through
 from . import seqhash
 
-RUN = "doc long, mark short, low int, high int, part long, body long"
+RUN = "doc long, mark long, low int, high int, part long, body long"
 Elements = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -28,11 +29,9 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def _identity() -> list:
-    return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")).alias("doc"),
-        F.expr("cast(pmod(xxhash64(text), 32768) as short)").alias("mark"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ]
+    text, doc_id = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id").cast("long")
+    of = lambda seed: F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text)
+    return [of(1).alias("doc"), of(2).alias("mark"), text.alias("text")]
 
 
 def identified_with_id(docs: DataFrame) -> DataFrame:

@@ -33,8 +33,8 @@ PART = 32
 PIECE = 1 << 19
 CROWD = 4096
 
-_BODY = "part long,body long,n long,doc long,mark short,low int,count int,crowded boolean,text binary"
-_SPAN = "doc long, mark short, low int, end int"
+_BODY = "part long,body long,n long,doc long,mark long,low int,count int,crowded boolean,text binary"
+_SPAN = "doc long, mark long, low int, end int"
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -131,11 +131,11 @@ def _by_counting(crowded: DataFrame, length: int) -> DataFrame:
                 data = np.frombuffer(batch["text"][i].as_buffer(), np.uint8)
                 one = seqhash.Rolling(seqhash.byte_values(data)).every(length)
                 two = seqhash.Rolling(seqhash.mix(seqhash.byte_values(data) + np.uint64(1))).every(length)
-                fixed = [pa.array(np.full(len(one), batch[c][i].as_py(), t)) for c, t in (("n", "i8"), ("doc", "i8"), ("mark", "i2"))]
+                fixed = [pa.array(np.full(len(one), batch[c][i].as_py(), t)) for c, t in (("n", "i8"), ("doc", "i8"), ("mark", "i8"))]
                 low = batch["low"][i].as_py() + np.arange(len(one), dtype="i4")
                 yield pa.RecordBatch.from_arrays([pa.array(seqhash.signed(one)), pa.array(seqhash.signed(two)), *fixed, pa.array(low)], names=names)
 
-    each = crowded.mapInArrow(windows, "one long, two long, n long, doc long, mark short, low int")
+    each = crowded.mapInArrow(windows, "one long, two long, n long, doc long, mark long, low int")
     twice = each.groupBy("one", "two").agg(F.sum("n").alias("stands")).where("stands > 1").select("one", "two")
     return each.where("n = 1").join(twice, ["one", "two"], "left_semi").select("doc", "mark", "low", (F.col("low") + length).cast("int").alias("end"))
 

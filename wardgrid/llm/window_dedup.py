@@ -32,8 +32,8 @@ from . import repeats, seqhash
 
 WINDOW = 35
 
-_STRETCH = "doc long,mark short,base int,text string"
-_BODY = "n long,doc long,mark short,low int,text binary"
+_STRETCH = "doc long,mark long,base int,text string"
+_BODY = "n long,doc long,mark long,low int,text binary"
 
 
 def levels(window: int) -> list[int]:
@@ -106,7 +106,7 @@ def _counted(bodies: DataFrame, window: int) -> DataFrame:
                 columns = [seqhash.signed(one[keep]), seqhash.signed(two[keep]), n[of + row], doc[of + row], mark[of + row], low.astype("i4")]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["one", "two", "n", "doc", "mark", "low"])
 
-    each = bodies.mapInArrow(windows, "one long, two long, n long, doc long, mark short, low int")
+    each = bodies.mapInArrow(windows, "one long, two long, n long, doc long, mark long, low int")
     twice = each.groupBy("one", "two").agg(F.sum("n").alias("stands")).where("stands > 1").select("one", "two")
     return (
         each.where("n = 1")
