@@ -6,10 +6,10 @@ every stage as Parquet in the shared folder and reads it again. All but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardgrid.llm import decontaminate, hyperminhash, packing, quality, window_dedup
+from wardgrid.llm import decontaminate, hyperminhash, packing, quality, repeats, window_dedup
 from wardgrid.llm.repeats import staged
 from wardgrid.llm.workers import importable
 
@@ -29,10 +29,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group; documents without doc_id only go if their group has one."""
+    """One row of each group: the one with the least doc_id, one without doc_id only if all lack it; of rows equal in
+    doc_id and text the first by the other columns. Texts without words all stay."""
     importable(spark)
-    kept = hyperminhash.near_duplicates(docs, shingle=SHINGLE).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.select(COLUMNS).join(staged(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = staged(hyperminhash.representatives(docs, shingle=SHINGLE), "kept").toDF("_doc", "_mark")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    docs = docs.select(COLUMNS)
+    own = docs.where(has_words).withColumns(dict(zip(("_doc", "_mark"), repeats._identity()[:2], strict=True)))
+    # the rank is cut in every map task before the shuffle, so many equal rows do not meet
+    equal = Window.partitionBy("_doc", "_mark").orderBy("lang", "source", "n_chars")
+    first = own.withColumn("_rank", F.row_number().over(equal)).where("_rank = 1")
+    return first.join(kept, ["_doc", "_mark"], "left_semi").select(COLUMNS).unionByName(docs.where(~has_words))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

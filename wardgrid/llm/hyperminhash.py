@@ -16,8 +16,9 @@ Empty buckets borrow from a fixed order of others, so each band of 5 registers s
    are compared in blocks, two bounded blocks to a task, by matrix products that emit links only.
 
 Defined cases: null or wordless texts have the empty set and are linked with nothing; fewer words than a
-shingle make one; repeated rows are copies; rows that share a doc_id are one document; a component whose
-rows all lack a doc_id has none; other columns do no harm; empty tables give none.
+shingle make one; repeated rows are copies; one row of each component is kept, the one with the least doc_id (a row
+without doc_id only if all lack it), then the least identity, and one of equal rows; the component_id of a component whose
+rows all lack a doc_id is null; other columns do no harm; empty tables give none.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 #: Pairs of a mixed group that are compared one by one; larger groups are compared in blocks of so many nodes.
 FEW_PAIRS, BLOCK = 256, 256
+#: Equal rows that one generated array numbers.
+EQUAL = 1 << 12
 
 _U = np.uint64
 _SKETCH = "doc_id long, doc long, mark long, n_shingles long, node long, sketch binary"
@@ -309,12 +312,30 @@ def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links), kept."""
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links), kept (one row of each component)."""
+    described, named = _named(docs, shingle, percent)
+    empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    alike = ["doc_id", "n_shingles", "node", "doc", "mark"]
+    equal = described.where("n_shingles > 0").groupBy(alike).agg(F.count("*").alias("rows"))
+    numbered = equal.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(EQUAL).cast("long"))))
+    numbered = numbered.withColumn("number", F.explode(F.sequence("from", F.least(F.col("rows"), F.col("from") + EQUAL) - 1)))
+    chosen = (F.col("number") == 0) & (F.col("doc") == F.col("chosen.doc")) & (F.col("mark") == F.col("chosen.mark"))
+    full = numbered.join(named, "node").select("doc_id", "n_shingles", F.col("chosen.doc_id").alias("component_id"), chosen.alias("kept"))
+    return full.unionByName(empty)
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc, mark) of the row that each component of documents with words keeps; rows equal to it share them."""
+    return _named(docs, shingle, percent)[1].select("chosen.doc", "chosen.mark").distinct()
+
+
+def _named(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The described documents, and (node, chosen): the row of the node's component that is kept."""
     described = staged(_described(docs, shingle), "described")
     nodes = staged(
         described.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc", "mark")).alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "doc", "mark")).alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
         "nodes",
     )
     banded = staged(_banded(nodes), "bands")
@@ -338,9 +359,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     second = staged(_plausible(second, nodes, percent), "second")
     more = _confirmed(second, sets, percent).unionByName(_links_in_blocks(rows, mixed, sets, percent))
     roots = staged(extended(roots, more), "roots")
-    rooted = _with_root(nodes.select("node", "least"), roots)
-    least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    named = staged(rooted.join(least, "root").select("node", "component_id"), "named")
-    empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    full = described.where("n_shingles > 0").join(named, "node").select("doc_id", "n_shingles", "component_id")
-    return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rooted = _with_root(nodes.select("node", "place"), roots)
+    least = staged(rooted.groupBy("root").agg(F.min("place").alias("chosen")), "least")
+    return described, staged(rooted.join(least, "root").select("node", "chosen"), "named")
