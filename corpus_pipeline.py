@@ -71,7 +71,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Stages that learn a model and tokenise cannot be put as SQL; tests compare with a brute-force version.
+#: Stages that learn a model and tokenise cannot be put as SQL; tests run the near-duplicate and substring stages, not the whole of ``run``.
 ORACLE_SQL = None
 
 
