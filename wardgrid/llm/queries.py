@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import centroids, mixing, quality, spelling
 from .arrow_ids import arrow_ids
 from .decontaminate import contaminated_documents
 from .html_extract import extract
 from .hyperminhash import near_duplicates
 from .language import identify
 from .packing import pack
+from .oracles import CENTROID_SQL, MIXING_SQL, SPELLING_SQL
 from .simhash import edited_fingerprints
 from .suffix_dedup import suffix_dedup
 from .window_dedup import window_dedup
@@ -87,3 +88,24 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_arrow_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_ids(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op12_capped_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
+
+
+@_query
+def op13_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    found = found.select("cluster", "cluster_inertia", "inertia", centroids.digest("components").alias("centroid_sha256"))
+    return assigned.withColumnRenamed("id", "vec_id").join(F.broadcast(found), "cluster")  # as many rows as centroids
+
+
+ORACLES |= {"op11_gram_spelling": SPELLING_SQL, "op12_capped_mixing": MIXING_SQL, "op13_orchard_clusters": CENTROID_SQL}
