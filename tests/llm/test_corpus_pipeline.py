@@ -50,7 +50,7 @@ def test_one_row_of_each_group_stays(session):
     assert (3, c, "en") in found and len(found) == 5 + len(rest)
     # nothing is repeated any more, so the next stage keeps every text
     assert sorted(((r.doc_id, r.text, r.lang) for r in cut.collect()), key=repr) == found
-    marked = [r.kept for r in hyperminhash.near_duplicates(docs, shingle=5).collect()]
+    marked = [r.chosen for r in hyperminhash.near_duplicates(docs, shingle=5).collect()]
     assert len(marked) == len(rows) and sum(marked) == len(found)
 
 
@@ -59,7 +59,7 @@ def test_equal_rows_beyond_one_array(session, monkeypatch):
     (a,) = texts(1)
     for n in (1, 3, 4, 10):
         found = hyperminhash.near_duplicates(table(session, [(5, a, "en")] * n)).collect()
-        assert len(found) == n and sum(r.kept for r in found) == 1
+        assert len(found) == n and sum(r.chosen for r in found) == 1
 
 
 def test_stages_of_an_empty_table(session):

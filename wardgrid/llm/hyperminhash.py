@@ -16,9 +16,10 @@ Empty buckets borrow from a fixed order of others, so each band of 5 registers s
    are compared in blocks, two bounded blocks to a task, by matrix products that emit links only.
 
 Defined cases: null or wordless texts have the empty set and are linked with nothing; fewer words than a
-shingle make one; repeated rows are copies; one row of each component is kept, the one with the least doc_id (a row
-without doc_id only if all lack it), then the least identity, and one of equal rows; the component_id of a component whose
-rows all lack a doc_id is null; other columns do no harm; empty tables give none.
+shingle make one; repeated rows are copies; ``kept`` says whether a row bears its component's least doc_id, so rows that share it are
+all kept; one row of each component is ``chosen``, the one with the least doc_id (a row without doc_id only if all lack it), then the
+least identity, and one of equal rows; the component_id of a component whose rows all lack a doc_id is null; other columns do no
+harm; empty tables give none.
 """
 
 from __future__ import annotations
@@ -312,16 +313,18 @@ def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links), kept (one row of each component)."""
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links), kept (whether that is its own doc_id; null
+    equals null here) and chosen (one row of each component, also where rows share a doc_id)."""
     described, named = _named(docs, shingle, percent)
-    empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("chosen"))
     alike = ["doc_id", "n_shingles", "node", "doc", "mark"]
     equal = described.where("n_shingles > 0").groupBy(alike).agg(F.count("*").alias("rows"))
     numbered = equal.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(EQUAL).cast("long"))))
     numbered = numbered.withColumn("number", F.explode(F.sequence("from", F.least(F.col("rows"), F.col("from") + EQUAL) - 1)))
     chosen = (F.col("number") == 0) & (F.col("doc") == F.col("chosen.doc")) & (F.col("mark") == F.col("chosen.mark"))
-    full = numbered.join(named, "node").select("doc_id", "n_shingles", F.col("chosen.doc_id").alias("component_id"), chosen.alias("kept"))
-    return full.unionByName(empty)
+    full = numbered.join(named, "node").select("doc_id", "n_shingles", F.col("chosen.doc_id").alias("component_id"), chosen.alias("chosen"))
+    found = full.unionByName(empty)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "chosen")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
