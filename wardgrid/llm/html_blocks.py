@@ -14,7 +14,7 @@ _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript iframe object svg math canvas audio video title".split())
+HIDDEN = frozenset("script style template title".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td textarea "
@@ -36,6 +36,11 @@ def _hidden_end(name: str) -> re.Pattern:
     return re.compile(f"</{name}\\s*>", re.I)
 
 
+@cache
+def _next_block() -> re.Pattern:
+    return re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
+
+
 def _labels(tag: str, name: str) -> tuple[str, ...]:
     found = [name]
     for groups in _NAMED.findall(tag) if " " in tag else ():
@@ -50,6 +55,7 @@ def blocks(html: str | None) -> list[Block]:
     names: list[str] = []
     labels: list[tuple[str, ...]] = []
     texts: list[str] = []
+    unclosed: set[str] = set()  # hidden elements with no end tag in the rest of the page
     linked = at = 0
 
     def finish() -> None:
@@ -85,8 +91,12 @@ def blocks(html: str | None) -> list[Block]:
             continue
         if name in HIDDEN:
             if not tag.endswith("/>"):
-                end = _hidden_end(name).search(page, at)
-                at = end.end() if end else len(page)
+                if name not in unclosed and (end := _hidden_end(name).search(page, at)):
+                    at = end.end()
+                else:  # without its end tag an element hides what is left of its block, no more
+                    unclosed.add(name)
+                    end = _next_block().search(page, at)
+                    at = end.start() if end else len(page)
             continue
         if name in BLOCK:
             finish()
