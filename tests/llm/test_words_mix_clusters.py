@@ -80,11 +80,14 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
 
 
-@pytest.mark.parametrize(("alphabet", "shortest", "crowd"), [("abcdéß", 6, 256), ("ab", 6, 3), ("abÿ", 1, 2), ("abcdefgh", 6, 0)])
-def test_variants_equal_all_pairs(session, alphabet, shortest, crowd):
+@pytest.mark.parametrize(
+    ("alphabet", "shortest", "crowd", "very_long"),
+    [("abcdéß", 6, 1024, 4096), ("ab", 6, 3, 4096), ("ab", 6, 30, 9), ("abÿ", 1, 2, 4096), ("abcdefgh", 6, 0, 4096), ("abc", 5, 12, 4096)],
+)
+def test_variants_equal_all_pairs(session, alphabet, shortest, crowd, very_long):
     counts = made_words(len(alphabet) + crowd, alphabet, shortest, 350)
     words = session.createDataFrame(list(counts.items()), "word string, n long")
-    assert rows_of(spelling.variants(words, crowd=crowd)) == plain_variants(counts)
+    assert rows_of(spelling.variants(words, crowd=crowd, very_long=very_long)) == plain_variants(counts)
 
 
 def test_bound_of_affected_grams_holds():

@@ -6,10 +6,11 @@
    depends on its own characters only, so an edit changes just the grams that cover it. A gram bears the number of its occurrence in the word.
 3. Bound. No edit affects more grams of a word than cover one of its characters (``affected``, at most ``LONGEST``). Two near words so
    share at least ``grams - affected`` of either, which is one or more for words of ``LONGEST`` characters or more.
-4. Lists. Sorted from rare to frequent, the first ``affected + 1`` grams of two near words have one in common. Lists of at most
-   ``CROWD`` words are merged: words that meet and whose lengths differ by one at most must share as many grams as the greater of their bounds.
-   Words of longer lists, and words whose bound is below one, are found by their single deletions, an exact way whose groups are bounded by
-   the alphabet: two words one edit apart have a deletion in common or one is a deletion of the other.
+4. Lists. Of the grams that an edit leaves alone, the rarest is among the first ``affected + 1`` of either word, rare ones first. So each word is
+   listed under these grams, and lists are merged: words of one list whose lengths differ by one at most must share as many grams as
+   the greater of their bounds. A list of more than ``CROWD`` words is first split by what stands before the gram, and by what stands
+   after it: one edit leaves one of the two alone. Words of a part that is still longer, words whose bound is below one and very long words are found by their
+   single deletions, whose groups are bounded by the alphabet: of two words one edit apart one is a deletion of the other, or they have one in common.
 5. Verification: exact edit distance.
 
 A word's form is the near word that stands most often (ties: the smallest), if it does ``factor`` times as often. Forms are followed to
@@ -28,6 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ from .repeats import staged
 
 SHORTEST, LONGEST = 2, 5
 #: Words of a list that are compared pair by pair.
-CROWD = 256
+CROWD = 1024
+#: Characters of a word from which on it is found by its deletions.
+VERY_LONG = 4096
 MIN_LENGTH, MIN_COUNT, FACTOR = 6, 5, 5
 #: One run in so many loses a character.
 SLIP = 199
@@ -116,62 +120,96 @@ def decompose(word: str, frequent: dict[str, int]) -> tuple[list[str], int]:
     return grams, int(np.cumsum(edge).max())
 
 
-def tokens(word: str, frequent: dict[str, int]) -> tuple[list[str], int]:
-    """The word's grams with the number of their occurrence, rare ones first, and the bound of affected ones."""
+def tokens(word: str, frequent: dict[str, int]) -> tuple[list[tuple[str, int]], int]:
+    """The word's grams, each with the number of its occurrence, rare ones first, and the bound of affected ones."""
     grams, affected = decompose(word, frequent)
     met: Counter[str] = Counter()
     found = []
     for gram in grams:
         met[gram] += 1
-        found.append((frequent.get(gram, 0), f"{gram}{met[gram]}"))
-    return [t for _, t in sorted(found)], affected
+        found.append((frequent.get(gram, 0), gram, met[gram]))
+    return [(g, k) for _, g, k in sorted(found)], affected
 
 
-_INDEXED = "word string, n long, tokens array<string>, bound int, affected int"
+_INDEXED = "word string, n long, size int, tokens array<long>, bound int, grams array<string>"
 
 
 def _index(frequent: dict[str, int]) -> Callable:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [tokens(w.as_py(), frequent) for w in batch["word"]]
-            lists = pa.array([t for t, _ in found], pa.list_(pa.string()))
-            bounds = [pa.array(x, pa.int32()) for x in ([len(t) - a for t, a in found], [a for _, a in found])]
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], lists, *bounds], names=["word", "n", "tokens", "bound", "affected"])
+            hashed, bounds, listed, sizes = [], [], [], []
+            for word in batch["word"].to_pylist():
+                found, affected = tokens(word, frequent)
+                hashed.append([xxhash.xxh64_intdigest(f"{g}{k}") - (1 << 63) for g, k in found])
+                listed.append(list(dict.fromkeys(g for g, _ in found[: affected + 1])))
+                bounds.append(len(found) - affected)
+                sizes.append(len(word))
+            columns = [pa.array(sizes, pa.int32()), pa.array(hashed, pa.list_(pa.int64())), pa.array(bounds, pa.int32()), pa.array(listed, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], *columns], names=["word", "n", "size", "tokens", "bound", "grams"])
 
     return index
 
 
 # ---------------------------------------------------------------- near words
-def near_pairs(words: DataFrame, crowd: int = CROWD) -> DataFrame:
+def near_pairs(words: DataFrame, crowd: int = CROWD, very_long: int = VERY_LONG) -> DataFrame:
     """(one, two, n_one, n_two): each pair of words (word, n) one edit apart, once."""
     # ids hold since the table is written
     index = staged(words.select("word", "n").mapInArrow(_index(dictionary(words)), _INDEXED).withColumn("id", F.monotonically_increasing_id()), "index")
-    entries = index.withColumn("token", F.explode(F.slice("tokens", F.lit(1), F.col("affected") + 1))).drop("tokens", "affected")
-    lists = staged(entries.groupBy("token").agg(F.count("*").alias("members")).where("members > 1"), "lists")
-    merged = _merged(index, entries, lists.where(F.col("members") <= crowd))
-    crowded = entries.join(lists.where(F.col("members") > crowd), "token").select("id", "word")
-    rest = crowded.unionByName(index.where("bound < 1").select("id", "word")).distinct()
-    return merged.unionByName(_by_deletions(index, staged(rest, "crowded"))).distinct()
-
-
-def _merged(index: DataFrame, entries: DataFrame, lists: DataFrame) -> DataFrame:
-    listed = entries.join(lists.select("token"), "token").join(index.select("id", "tokens"), "id")
-    listed = staged(listed, "listed")
-    one, two = (listed.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("word", "n", "tokens", "bound"))) for side in ("one", "two"))
-    met = one.join(two, "token").where("word_one < word_two and abs(length(word_one) - length(word_two)) <= 1")
+    entries = index.withColumn("key", F.explode("grams")).drop("grams")
+    lists = staged(entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "lists")
+    light = entries.join(lists.where(F.col("members") <= crowd).select("key"), "key")
     enough = F.size(F.array_intersect("tokens_one", "tokens_two")) >= F.greatest("bound_one", "bound_two")
-    return _verified(met.where(enough))
+    merged = _met(light, ["word", "n", "tokens", "bound"]).where(enough)
+
+    crowded = entries.where(F.col("size") <= very_long).join(lists.where(F.col("members") > crowd).select("key"), "key")
+    parts = staged(crowded.select("id", "word", "n", "size", "key").mapInArrow(_contexts, "id long, word string, n long, size int, key long"), "contexts")
+    sizes = staged(parts.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "parts")
+    split = _met(parts.join(sizes.where(F.col("members") <= crowd).select("key"), "key"), ["word", "n"])
+
+    rest = parts.join(sizes.where(F.col("members") > crowd), "key").select("id", "word")
+    rest = staged(rest.unionByName(index.where((F.col("bound") < 1) | (F.col("size") >= very_long)).select("id", "word")).distinct(), "rest")
+    pair = ["word_one", "word_two", "n_one", "n_two"]
+    met = merged.select(pair).unionByName(split.select(pair)).unionByName(_by_deletions(index, rest).select(pair))
+    return _verified(met).distinct()
+
+
+def _met(listed: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs of one list whose lengths are equal, once, or differ by one."""
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in columns]
+    one = listed.select("key", F.col("size").alias("length"), *side("one"), F.lit(True).alias("_"))
+    two = listed.select("key", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("length"), F.col("size").alias("own"), *side("two"))
+    return one.join(two, ["key", "length"]).where("own < length or word_one < word_two")
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A list's word under what stands before and after each occurrence of the list's gram, that included."""
+    for batch in batches:
+        of, keys = [], []
+        for i, (word, gram) in enumerate(zip(batch["word"].to_pylist(), batch["key"].to_pylist(), strict=True)):
+            framed = f"^{word}$"
+            at, met = framed.find(gram), set()
+            while at >= 0:
+                met.add(xxhash.xxh64_intdigest(f"{gram}<{framed[:at]}") - (1 << 63))
+                met.add(xxhash.xxh64_intdigest(f"{gram}>{framed[at + len(gram) :]}") - (1 << 63))
+                at = framed.find(gram, at + 1)
+            of += [i] * len(met)
+            keys += met
+        rows = batch.take(pa.array(of, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(rows[c] for c in ("id", "word", "n", "size")), pa.array(keys, pa.int64())], names=["id", "word", "n", "size", "key"])
 
 
 def _verified(met: DataFrame) -> DataFrame:
-    """Pairs exactly one edit apart, of (word_one, word_two, n_one, n_two)."""
+    """Pairs exactly one edit apart, of (word_one, word_two, n_one, n_two); the lesser word is ``one``."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [one_edit(a.as_py(), b.as_py()) for a, b in zip(batch["one"], batch["two"], strict=True)]
             yield batch.filter(pa.array(near, pa.bool_()))
 
-    met = met.select(F.col("word_one").alias("one"), F.col("word_two").alias("two"), "n_one", "n_two")
+    turned = F.col("word_one") > F.col("word_two")
+    first, last = ("one", "two"), ("two", "one")
+    pick = lambda c, i: F.when(turned, F.col(f"{c}_{last[i]}")).otherwise(F.col(f"{c}_{first[i]}"))
+    met = met.select(pick("word", 0).alias("one"), pick("word", 1).alias("two"), pick("n", 0).alias("n_one"), pick("n", 1).alias("n_two"))
     return met.mapInArrow(verify, "one string, two string, n_one long, n_two long")
 
 
@@ -195,26 +233,31 @@ def _by_deletions(index: DataFrame, rest: DataFrame) -> DataFrame:
     pairs = pairs.where("id_one <> id_two").select("id_one", "id_two").distinct()
     for side in ("one", "two"):
         pairs = pairs.join(index.select(F.col("id").alias(f"id_{side}"), F.col("word").alias(f"word_{side}"), F.col("n").alias(f"n_{side}")), f"id_{side}")
-    return _verified(pairs.where("word_one < word_two"))
+    return pairs.where("word_one < word_two")
 
 
 def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash of the word and of each of its single deletions: a sum of characters times powers of a base."""
     for batch in batches:
-        for word, key in zip(batch["word"], batch["id"].to_pylist(), strict=True):
-            codes = seqhash.mix(np.frombuffer(word.as_py().encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
-            up = np.cumprod(np.full(len(codes), _BASE, np.uint64), dtype=np.uint64)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up, dtype=np.uint64)])
-            shorter = sums[:-1] + (sums[-1] - sums[1:]) * _INVERSE
-            hashes = np.unique(np.append(shorter, sums[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(seqhash.signed(hashes)), pa.array(np.full(len(hashes), key, np.int64))], names=["key", "id"])
+        words = batch["word"].to_pylist()
+        sizes = np.array([len(w) for w in words], np.int64)
+        codes = seqhash.mix(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
+        up = np.cumprod(np.full(sizes.max(initial=0), _BASE, np.uint64), dtype=np.uint64)
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(len(codes)) - np.repeat(first, sizes)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up[place], dtype=np.uint64)])
+        whole, before = sums[first + sizes] - sums[first], sums[:-1] - np.repeat(sums[first], sizes)
+        after = np.repeat(sums[first + sizes], sizes) - sums[1:]
+        hashes = np.concatenate([whole, before + after * _INVERSE])
+        ids = batch["id"].to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(seqhash.signed(hashes)), pa.array(np.concatenate([ids, np.repeat(ids, sizes)]))], names=["key", "id"])
 
 
 # ---------------------------------------------------------------- forms and roots
-def variants(words: DataFrame, factor: int = FACTOR, crowd: int = CROWD) -> DataFrame:
+def variants(words: DataFrame, factor: int = FACTOR, crowd: int = CROWD, very_long: int = VERY_LONG) -> DataFrame:
     """Per word of ``words`` (word, n; distinct): form, root, n, n_near, form_n."""
     words = staged(words.select("word", "n"), "words")
-    pairs = staged(near_pairs(words, crowd), "pairs")
+    pairs = staged(near_pairs(words, crowd, very_long), "pairs")
     ways = pairs.select(F.col("one").alias("word"), F.col("two").alias("near"), F.col("n_two").alias("near_n")).unionByName(
         pairs.select(F.col("two").alias("word"), F.col("one").alias("near"), F.col("n_one").alias("near_n"))
     )
