@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
+    # else it follows the cores registered at that moment, and two readings of a file may be cut differently
+    "spark.sql.files.minPartitionNum": "256",
     "spark.ui.enabled": "false",
 }
 

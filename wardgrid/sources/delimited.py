@@ -6,14 +6,17 @@ spread over as many tasks as it has blocks. It has two steps.
 1. A census of every (file, block): rows, first row id, whether the bytes are valid
    UTF-8, whether a quoted field may cross a line end. It is pre-aggregated in
    each task and written as a small table with one row per block. The first line
-   of each file is then looked up by its row id.
+   of each file is read apart, by tasks that open the file and read no further.
 2. The parse, which joins that table for encoding, separator, column positions
    and the number of the block's first line. Record numbers come from the
    position inside the block plus that offset, so no row is shuffled for them.
 
 Only files in which a quoted field really crosses a line end go through
 ``_stitched_records``, which resolves the open/closed quote state of every line
-with windows bounded by one block.
+with windows bounded by one block, and across blocks with one row per block. What
+it finds does not depend on where blocks begin. Fields may have any length; only a
+record of more than ``LONGEST_RECORD`` characters, as a stray quote makes of the
+rest of a huge file, makes its file unreadable.
 """
 
 from __future__ import annotations
@@ -26,9 +29,11 @@ from ..errors import StructureError
 from ..fixed_values import HEADER_SYNONYMS, SEPARATORS, VISIT_COLUMNS
 from ..functions.once import filter_computed
 from ..functions.text import WHITESPACE, canonical_header, strip
+from .heads import can_open, first_lines, listed
 from .scratch import write_through
 
-FIELD_LIMIT = 131072  # fixed value: longest field the file format accepts
+#: Characters of the longest record over several lines; one record is held by one task.
+LONGEST_RECORD = 1 << 26
 _ASCII_BLANKS = " \t\n\r\x0b\x0c"
 _LINE_BREAKS = "[\r\n\x0b\x0c\x1c-\x1e\x85  ]"
 # fixed values: bytes 0x80-0x9F in Windows-1252; the five unassigned ones are absent
@@ -51,9 +56,12 @@ class DelimitedScan:
     records: DataFrame
 
     def require_readable(self, shown: int = 20) -> "DelimitedScan":
-        broken = self.files.where("error is not null").orderBy("path").limit(shown).collect()
-        if broken:
-            raise StructureError("; ".join(f"{r.path}: {r.error}" for r in broken))
+        broken = self.files.where("error is not null")
+        first = broken.orderBy("path").limit(shown).collect()
+        if first:
+            more = broken.count() - len(first) if len(first) == shown else 0
+            named = "; ".join(f"{r.path}: {r.error}" for r in first)
+            raise StructureError(named + (f"; and {more} more files" if more else ""))
         return self
 
 
@@ -149,17 +157,6 @@ def pick(values: Column, positions: Column) -> Column:
 
 
 # ---------------------------------------------------------------------- scan
-def _pin_read_partitions(spark: SparkSession) -> None:
-    """Make both passes cut files alike.
-
-    Unless set, the number of read partitions follows the cores registered at that
-    moment, which change when executors come and go.
-    """
-    key = "spark.sql.files.minPartitionNum"
-    if not (spark.conf.get(key, None) or "").isdigit():
-        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-
-
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Physical lines with raw bytes preserved and their place in the file."""
     return spark.read.option("lineSep", "\n").text(paths).select(
@@ -208,7 +205,7 @@ def _census(lines: DataFrame) -> DataFrame:
 
 
 def _heads(lines: DataFrame, census: DataFrame) -> DataFrame:
-    """First line of every file, by the row id the census found.
+    """First line of every file, by the row id the census found, where Python cannot open the files.
 
     A second reading is cheaper than keeping text in the census: with fixed-width
     buffers only, the census is hash-aggregated in generated code.
@@ -218,7 +215,7 @@ def _heads(lines: DataFrame, census: DataFrame) -> DataFrame:
     return found.select("path", F.col("raw").cast("binary").alias("head"))
 
 
-def _file_table(census: DataFrame, heads: DataFrame, listed: DataFrame) -> DataFrame:
+def _file_table(census: DataFrame, heads: DataFrame, listing: DataFrame) -> DataFrame:
     """One row per listed file: encoding, separator, first line, first error found."""
     found = census.groupBy("path").agg(
         F.bool_and("utf8").alias("utf8"),
@@ -228,7 +225,7 @@ def _file_table(census: DataFrame, heads: DataFrame, listed: DataFrame) -> DataF
     as_utf8 = F.regexp_replace(F.col("head").cast("string"), "^﻿", "")
     head = F.rtrim(F.when(F.col("utf8"), as_utf8).otherwise(windows_text(F.col("head"))), F.lit("\r"))
     known = (
-        listed.join(found, "path", "left")
+        listing.join(found, "path", "left")
         .withColumn("encoding", F.when(F.col("utf8"), UTF8).otherwise(WINDOWS))
         .withColumn("head", F.when(F.col("utf8").isNotNull(), head))
         .withColumn("separator", choose_separator(F.split(F.col("head"), _LINE_BREAKS, 2)[0]))
@@ -271,7 +268,7 @@ def _resolve(fixed: Column, flips: Column, incoming: Column) -> Column:
     return F.when(fixed.isNotNull(), fixed["v"] != odd_since).otherwise(incoming != odd_all)
 
 
-def _stitched_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _stitched_records(lines: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
     """Records of files whose quoted fields cross line ends: (records, errors).
 
     ``lines`` carries path, block, seq, line_number, separator, text. Windows run
@@ -320,14 +317,14 @@ def _stitched_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
     state = _resolve(F.col("fixed"), F.col("flips"), F.col("block_inside"))
-    inert = F.col("stays") & ~F.col("opens")
     lines = (
         flagged.join(ends, ["path", "block"])
         .withColumn("ends_inside", state)
         .withColumn("inside", F.coalesce(F.lag("ends_inside").over(in_block), F.col("block_inside")))
         .withColumn("started", F.sum(F.when(~F.col("inside"), 1).otherwise(0)).over(running))
-        .withColumn("run", F.sum(F.when(inert, 0).otherwise(1)).over(running))
+        .select("path", "block", "line_number", "text", "inside", "ends_inside", "started")
     )
+    lines = write_through(lines, "quoted-lines")
     offsets = lines.groupBy("path", "block").agg(F.max("started").alias("n")).select(
         "path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("records_before")
     )
@@ -335,25 +332,25 @@ def _stitched_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         "record_number", F.col("records_before") + F.col("started")
     )
 
-    # a run of lines that leave the state alone inside quotes lies in one field: refuse
-    # it past the format's limit, so that a stray quote never gathers the rest of a file
-    too_long = (
-        lines.where(F.col("inside") & inert)
-        .groupBy("path", "block", "run")
-        .agg(F.sum(F.length("text") + 1).alias("chars"))
-        .where(F.col("chars") > FIELD_LIMIT)
-        .select("path", F.lit(f"field larger than {FIELD_LIMIT} characters").alias("late_error"))
-        .distinct()
+    # lengths are added up per record before any record is gathered, whatever the blocks
+    over_lines = lines.where(F.col("inside") | F.col("ends_inside"))
+    too_long = write_through(
+        over_lines.groupBy("path", "record_number")
+        .agg((F.sum(F.length("text") + 1) - 1).alias("chars"))
+        .where(F.col("chars") > longest)
+        .groupBy("path")
+        .agg(F.min("record_number").alias("first"))
+        .select("path", F.format_string(f"record %d is longer than {longest} characters", "first").alias("late_error")),
+        "too-long",
     )
-    lines = lines.join(too_long, "path", "left_anti")
-    whole = lines.where(~F.col("inside") & ~F.col("ends_inside")).select("path", "record_number", "text")
+    whole = lines.where(~F.col("inside") & ~F.col("ends_inside")).join(too_long, "path", "left_anti")
     joined = (
-        lines.where(F.col("inside") | F.col("ends_inside"))
+        over_lines.join(too_long, "path", "left_anti")
         .groupBy("path", "record_number")
         .agg(F.array_sort(F.collect_list(F.struct("line_number", "text"))).alias("parts"))
         .select("path", "record_number", F.array_join(F.col("parts.text"), "\n").alias("text"))
     )
-    return whole.unionByName(joined), too_long
+    return whole.select("path", "record_number", "text").unionByName(joined), too_long
 
 
 def _with_header(files: DataFrame, columns: tuple[str, ...], synonyms: dict[str, str]) -> DataFrame:
@@ -399,20 +396,21 @@ def scan_delimited(
     paths: str | list[str],
     columns: tuple[str, ...] = VISIT_COLUMNS,
     synonyms: dict[str, str] | None = None,
+    longest_record: int = LONGEST_RECORD,
 ) -> DelimitedScan:
-    """Scan files into canonical string columns, numbering records per file."""
+    """Scan files into canonical string columns, numbering records per file.
+
+    Both passes must cut files alike, which ``build_session`` sees to; where they do
+    not, reading the records fails and says so.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     synonyms = HEADER_SYNONYMS if synonyms is None else synonyms
-    _pin_read_partitions(spark)
     lines = _lines(spark, paths)
-    # empty files have no rows, so they are only visible in the reader's listing
-    listing = spark.read.text(paths).inputFiles()
-    listed = spark.createDataFrame([(p,) for p in listing], "path string").withColumn(
-        "path", F.regexp_replace("path", "^([^:/]+):///", "$1:/")  # one spelling of a local path
-    )
-
+    # empty files have no rows, so they are only visible in the listing
+    listing = write_through(listed(spark, paths), "listing")
     census = write_through(_census(lines), "census")
-    known = _file_table(census, _heads(lines, census), listed)
+    found = first_lines(listing) if can_open(listing) else _heads(lines, census)
+    known = _file_table(census, found, listing)
     files = _with_header(write_through(known, "files"), columns, synonyms)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # a crossing header is only known after stitching, so its own error is ignored here
@@ -447,7 +445,7 @@ def scan_delimited(
         return DelimitedScan(files.select(*_FILE_COLUMNS), records)
 
     stitched, late = _stitched_records(
-        numbered.where("crosses").select("path", "block", "seq", "line_number", "separator", "text")
+        numbered.where("crosses").select("path", "block", "seq", "line_number", "separator", "text"), longest_record
     )
     stitched = write_through(stitched, "stitched")
     heads = stitched.where("record_number = 1").select("path", F.rtrim("text", F.lit("\r")).alias("head"))
