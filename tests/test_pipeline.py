@@ -12,6 +12,7 @@ from wardgrid.errors import QualityGateError
 from wardgrid.plans import pipeline
 from wardgrid.plans.models import build_models
 from wardgrid.plans.refresh import refresh_mart
+from wardgrid.sources import daytable
 from wardgrid.sources.catalogue import district_aliases, districts
 from wardgrid.streaming.landing import ingest_landed
 
@@ -52,7 +53,7 @@ def test_day_by_day_to_report(spark, tmp_path):
     days = summary.select("fecha")
     for _ in range(2):  # loading twice gives the same table
         pipeline.load_visits(spark, lake, raw_visits, days)
-    loaded = spark.read.schema(schemas.RAW_VISITS).parquet(raw_visits)
+    loaded = pipeline.raw_visits(spark, raw_visits)
     assert loaded.count() == 16
     row = loaded.where("_numero_fila = 3 and fecha_atencion = date'2026-10-02'").first()
     assert row.distrito == "Ñuñoa" and "staged/atenciones/fecha=2026-10-02" in row._archivo_origen
@@ -109,7 +110,7 @@ def test_refresh_equals_a_full_build(spark, tmp_path):
         frame(rows, schema).write.partitionBy(column).parquet(str(tmp_path / name))
     refresh_mart(spark, str(tmp_path / "v"), str(tmp_path / "a"), mart, changed)
     want = build_models(frame(v, schemas.RAW_VISITS), frame(a, schemas.RAW_AIR), *names).fact.drop("actualizado_en")
-    got = spark.read.schema(fact.schema).parquet(mart).select(*want.columns)
+    got = daytable.read(spark, mart, "fecha", fact.schema).select(*want.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
@@ -133,7 +134,7 @@ def test_stream_loads_new_and_resubmitted_days(spark, tmp_path):
 
     def run():
         ingest_landed(spark, str(tmp_path / "in"), lake, table, state, files_per_batch=2).awaitTermination()
-        got = spark.read.schema(schemas.RAW_VISITS).parquet(table).groupBy("fecha_atencion").agg(F.sum("num_atenciones"))
+        got = pipeline.raw_visits(spark, table).groupBy("fecha_atencion").agg(F.sum("num_atenciones"))
         return {r[0]: r[1] for r in got.collect()}
 
     for day in DAYS[:3]:
@@ -150,7 +151,7 @@ def test_stream_loads_new_and_resubmitted_days(spark, tmp_path):
     refused = str(tmp_path / "refused")
     ingest_landed(spark, str(tmp_path / "in"), lake, table, state, refused_to=refused).awaitTermination()
     assert {r.fecha.day: r.total for r in spark.read.parquet(refused).collect()} == {9: 4, 10: 0}
-    got = spark.read.schema(schemas.RAW_VISITS).parquet(table).where("fecha_atencion > '2026-10-08'")
+    got = pipeline.raw_visits(spark, table).where("fecha_atencion > '2026-10-08'")
     assert {(r.fecha_atencion, r.num_atenciones) for r in got.collect()} == {(dt.date(2026, 10, 11), 1)}
 
 
@@ -168,7 +169,7 @@ def test_stream_keeps_all_files_of_a_day(spark, tmp_path):
 
         def run(lake=lake, table=table, state=state, size=size, base=base):
             ingest_landed(spark, str(base / "in"), lake, table, state, files_per_batch=size).awaitTermination()
-            rows = spark.read.schema(schemas.RAW_VISITS).parquet(table).collect()
+            rows = pipeline.raw_visits(spark, table).collect()
             return sorted((r.codigo_clinica, r.num_atenciones) for r in rows)
 
         landed(base / "in", 1, 10)
@@ -214,3 +215,41 @@ def test_all_landed_sensors_are_staged(spark, tmp_path):
         folder.mkdir()
         (folder / "1.json").write_text(item)
     assert pipeline.stage_air(spark, stations, days, str(tmp_path / "lake"), day).count() == 50
+
+
+def test_air_of_many_days_equals_day_by_day(spark, tmp_path):
+    """Sensors that stopped, repeated and null items, days without readings; failing days are named with their reasons."""
+    rng = random.Random(8)
+    wanted = [dt.date(2026, 10, 1) + dt.timedelta(i) for i in range(12)]
+    stations, folder = [], tmp_path / "api"
+    for k in range(9):
+        sensors = [{"id": 100 * k + s, "parameter": {"name": p}} for s, p in enumerate(["pm25", "pm10", "pm25"])]
+        seen = {"utc": f"{wanted[k]}T05:00:00Z"} if k < 8 else None
+        stations.append({"id": k, "name": f"S{k}", "isMobile": k == 7, "coordinates": {"latitude": 1.0, "longitude": k * 1.0}, "datetimeLast": seen, "sensors": sensors})
+        for sensor in sensors:
+            items = [
+                {"value": None if rng.random() < 0.2 else rng.randrange(1000) / 7, "period": {"datetimeFrom": {"local": f"{d}T00:00:00"}}}
+                for d in rng.choices([x for x in wanted if x != wanted[2]], k=20)
+            ]
+            (folder / "days" / f"sensor_id={sensor['id']}").mkdir(parents=True)
+            (folder / "days" / f"sensor_id={sensor['id']}" / "1.json").write_text(json.dumps({"results": [*items, {"value": 1.0}]}))
+    (folder / "stations").mkdir()
+    (folder / "stations" / "1.json").write_text(json.dumps({"results": stations}))
+    places = (str(folder / "stations"), str(folder / "days"))
+    days = spark.createDataFrame([(d,) for d in [*wanted, wanted[0]]], "fecha date")
+    with pytest.raises(QualityGateError) as caught:
+        pipeline.stage_air(spark, *places, str(tmp_path / "all"), days)
+    said = str(caught.value)
+    assert f"no station reported pm25 for {wanted[2]}" in said and f"no active pm25 sensor for {wanted[7]}" in said
+    together = pipeline.stage_air(spark, *places, str(tmp_path / "again"), days, strict=False)
+    columns = [c for c in together.columns if c != "n_observaciones"]
+    apart = []
+    for day in wanted:
+        try:
+            apart += pipeline.stage_air(spark, *places, str(tmp_path / "one"), day).select(columns).collect()
+        except QualityGateError:
+            assert str(day) in said
+    assert sorted(map(tuple, apart)) == sorted(map(tuple, together.select(columns).collect())) and len(apart) > 20
+    for lake in ("all", "one"):
+        stored = spark.read.schema(schemas.AIR_LINES).json(str(tmp_path / lake / "raw" / "calidad_aire"))
+        assert sorted(map(tuple, stored.select("fecha", "sensor_id", "valor_promedio").collect())) == sorted((r.fecha, r.sensor_id, r.valor_promedio) for r in apart)

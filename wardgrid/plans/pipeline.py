@@ -7,13 +7,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..errors import StructureError
+from ..errors import QualityGateError, StructureError
 from ..fixed_values import RAW_AIR_COLUMNS, RAW_VISIT_COLUMNS, REPORT_COLUMNS, REPORT_TITLE, VISIT_COLUMNS
-from ..operators.air_api import active_sensors, daily_readings, require_readings
+from ..operators.air_api import days_without_readings, known_sensors, readings_of_days
 from ..operators.grid import calendar_of
 from ..operators.quality import store_and_enforce
 from ..operators.report import report_lines, require_days
@@ -26,6 +25,7 @@ from ..operators.validation import (
     visit_rules,
 )
 from ..params import DEFAULTS, Parameters
+from ..sources import daytable
 from ..sources.catalogue import district_aliases, districts
 from ..sources.delimited import scan_delimited
 from ..sources.lake import DAY_FOLDER, layer_folder, replace_days, with_lineage
@@ -38,6 +38,8 @@ VISITS, AIR, REPORTS = "atenciones", "calidad_aire", "reporte"
 DAY_IN_PATH = r"(?:_|/fecha=)([0-9]{4}-[0-9]{2}-[0-9]{2})(?:\.[A-Za-z]+$|/)"
 STAGED_COLUMNS = (*VISIT_COLUMNS, "_numero_fila")
 QUARANTINE_COLUMNS = (*STAGED_COLUMNS, "motivo_rechazo")
+#: Failing days an error names; the rest are counted.
+SHOWN_DAYS = 20
 
 
 def day_of_file(path: Column) -> Column:
@@ -96,7 +98,7 @@ def stage_visits(
 def load_visits(
     spark: SparkSession, lake: str, table: str, days: DataFrame, loaded_at: dt.datetime | None = None
 ) -> None:
-    """Reread the staged days and replace them in the raw visits table."""
+    """Reread the staged days and replace them in the raw visits table, all of them or none."""
     staged = read_csv(spark, layer_folder(lake, "staged", VISITS), STAGED_COLUMNS, DAY_FOLDER)
     rows = staged.join(days.select(DAY_FOLDER), DAY_FOLDER, "left_semi")
     stamp = F.lit(loaded_at) if loaded_at else F.current_timestamp()
@@ -109,39 +111,50 @@ def load_visits(
         }
     )
     days = days.select(F.col(DAY_FOLDER).alias("fecha_atencion"))
-    replace_days(typed, table, "fecha_atencion", days)
+    daytable.replace_days(typed, table, "fecha_atencion", days)
 
 
 def stage_air(
-    spark: SparkSession, locations: str, pages: str, lake: str, day: dt.date
+    spark: SparkSession, locations: str, pages: str, lake: str, days: dt.date | DataFrame, strict: bool = True
 ) -> DataFrame:
-    """Landed API pages to one JSON line per sensor with a reading.
+    """Landed API pages to one JSON line per sensor and day with a reading, for all requested days in one pass.
 
     ``locations`` holds pages of stations; ``pages`` holds the daily pages in
-    folders ``sensor_id=<id>``.
+    folders ``sensor_id=<id>``; ``days`` is one day, or has a row per day in ``fecha``. Days
+    with readings are written; then days without are named in an error, each with its reason. With
+    ``strict=False`` nothing is raised. Returns the readings.
     """
+    if not isinstance(days, DataFrame):
+        days = spark.range(1).select(F.lit(days).alias(DAY_FOLDER))
+    days = write_through(days.select(F.col(DAY_FOLDER).cast("date")).where(f"{DAY_FOLDER} is not null").distinct(), "air-days")
     found = (
         spark.read.option("multiLine", "true")
         .schema(schemas.API_LOCATIONS_PAGE)
         .json(locations)
         .select(F.inline("results"))
     )
-    chosen = active_sensors(found, F.lit(day))  # all of them: the pages have landed already
+    sensors = write_through(known_sensors(found), "sensors")  # all of them: the pages have landed already
     page_schema = schemas.T.StructType(
         [*schemas.API_DAYS_PAGE.fields, schemas.T.StructField("sensor_id", schemas.T.StringType())]
     )
     daily = spark.read.option("multiLine", "true").schema(page_schema).json(pages)
-    readings = daily_readings(daily.join(chosen, "sensor_id"), F.lit(day))
-    require_readings(readings, str(day))
-    days = spark.range(1).select(F.lit(day).alias(DAY_FOLDER))
-    replace_days(readings, layer_folder(lake, "raw", AIR), DAY_FOLDER, days, "json", ignoreNullFields="false")
+    readings = write_through(readings_of_days(daily, sensors, days), "readings")
+    missing = write_through(days_without_readings(readings, sensors, days), "missing-days")
+    present = days.join(missing, DAY_FOLDER, "left_anti")
+    replace_days(readings, layer_folder(lake, "raw", AIR), DAY_FOLDER, present, "json", present, ignoreNullFields="false")
+    if strict:
+        first = missing.orderBy(DAY_FOLDER).limit(SHOWN_DAYS).collect()
+        if first:
+            more = missing.count() - len(first) if len(first) == SHOWN_DAYS else 0
+            named = "; ".join(f"{r.error} for {r.fecha}" for r in first)
+            raise QualityGateError(named + (f"; and {more} more days" if more else ""))
     return readings
 
 
 def load_air(
     spark: SparkSession, lake: str, table: str, days: DataFrame, loaded_at: dt.datetime | None = None
 ) -> None:
-    """Reread the landed lines and replace their days in the raw air table."""
+    """Reread the landed lines and replace their days in the raw air table, all of them or none."""
     lines = spark.read.schema(schemas.AIR_LINES).json(layer_folder(lake, "raw", AIR))
     stamp = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     rows = lines.select("*", F.col("_metadata.file_path").alias("_archivo")).join(
@@ -150,7 +163,16 @@ def load_air(
     typed = with_lineage(rows, RAW_AIR_COLUMNS, F.col("_archivo")).withColumn(
         "_cargado_en", stamp.cast("timestamp_ntz")
     )
-    replace_days(typed, table, "fecha", days.select(F.col(DAY_FOLDER).alias("fecha")))
+    daytable.replace_days(typed, table, "fecha", days.select(F.col(DAY_FOLDER).alias("fecha")))
+
+
+def raw_visits(spark: SparkSession, table: str) -> DataFrame:
+    """The raw visits table as its newest entry has it."""
+    return daytable.read(spark, table, "fecha_atencion", schemas.RAW_VISITS)
+
+
+def raw_air(spark: SparkSession, table: str) -> DataFrame:
+    return daytable.read(spark, table, "fecha", schemas.RAW_AIR)
 
 
 def build_mart(
@@ -165,21 +187,18 @@ def build_mart(
 ) -> Models:
     """Rebuild the finished table, run the declared checks on it, raise if one fails."""
     models = build_models(
-        spark.read.schema(schemas.RAW_VISITS).parquet(visits_table),
-        spark.read.schema(schemas.RAW_AIR).parquet(air_table),
+        raw_visits(spark, visits_table),
+        raw_air(spark, air_table),
         districts(spark) if places is None else places,
         district_aliases(spark) if aliases is None else aliases,
         params,
         keep_staged=True,
     )
     days = calendar_of((models.district_visits, "fecha"), (models.district_air, "fecha"))
-    try:
-        stored = spark.read.parquet(mart).select("fecha").distinct()
-    except AnalysisException:
-        stored = days  # first build
     # days that are gone are emptied; a failing write leaves the old table in place
-    replace_days(models.fact, mart, "fecha", days.union(stored).distinct(), present=days)
-    built = Models(**{**models.__dict__, "fact": spark.read.schema(models.fact.schema).parquet(mart)})
+    stored = daytable.days_of(spark, mart, "fecha")
+    daytable.replace_days(models.fact, mart, "fecha", days.union(stored).distinct())
+    built = Models(**{**models.__dict__, "fact": daytable.read(spark, mart, "fecha", models.fact.schema)})
     store_and_enforce(spark, declared_checks(built, params), audit)
     return built
 

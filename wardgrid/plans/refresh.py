@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .. import schemas
 from ..operators.grid import dense_grid, fill_grid
 from ..params import DEFAULTS, Parameters
+from ..sources import daytable
 from ..sources.catalogue import district_aliases, districts
-from ..sources.lake import replace_days
 from ..sources.scratch import write_all_through, write_through
 from .models import (
     COUNT_COLUMNS,
@@ -100,12 +100,12 @@ def refresh_mart(
 ) -> None:
     """Bring a finished table up to date after the raw partitions of ``changed`` were replaced."""
     rows, days = refreshed_rows(
-        spark.read.schema(schemas.RAW_VISITS).parquet(visits_table),
-        spark.read.schema(schemas.RAW_AIR).parquet(air_table),
-        spark.read.parquet(mart),
+        daytable.read(spark, visits_table, "fecha_atencion", schemas.RAW_VISITS),
+        daytable.read(spark, air_table, "fecha", schemas.RAW_AIR),
+        daytable.read(spark, mart, "fecha"),
         changed,
         districts(spark) if places is None else places,
         district_aliases(spark) if aliases is None else aliases,
         params,
     )
-    replace_days(rows, mart, "fecha", days)
+    daytable.replace_days(rows, mart, "fecha", days)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.observation import Observation
@@ -11,6 +12,7 @@ from pyspark.sql.observation import Observation
 from ..errors import PartitionError
 from ..fixed_values import LAKE_LAYERS, RETENTION_DAYS
 from ..functions.text import text_map
+from .files import can_list, list_files, remove
 from .scratch import write_through
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*")
@@ -121,21 +123,23 @@ def replace_days(
         .partitionBy(column)
         .save(table)
     )
+    empty = requested.join(present, column, "left_anti")
+    folder = F.concat(F.lit(f"{table.rstrip('/')}/{column}="), F.col(column).cast("string"))
+    if can_list(table):
+        remove(empty.select(folder.alias("path")))  # by tasks, all days at once
+        return
     blank = df.drop(column).limit(0)
-    for row in requested.join(present, column, "left_anti").collect():  # at most the requested days
-        folder = f"{table.rstrip('/')}/{column}={row[0]}"
-        blank.write.mode("overwrite").format(fmt).options(**options).save(folder)
+    for row in empty.select(folder).collect():  # at most the requested days
+        blank.write.mode("overwrite").format(fmt).options(**options).save(row[0])
 
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Objects below a lake root: path, layer, domain, day, written_at, size. No content is read."""
     layout = r"/([^/]+)/([^/]+)/fecha=([0-9-]{10})/"
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "modificationTime", "length")
-    )
+    if can_list(root):  # by tasks
+        found = list_files(spark, [root]).where("size > 0").withColumnsRenamed({"modified": "modificationTime", "size": "length"})
+    else:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return found.select(
         "path",
         F.regexp_extract("path", layout, 1).alias("capa"),
@@ -158,3 +162,20 @@ def retention_expired(
     limit = F.try_element_at(text_map({k: str(v) for k, v in keep.items()}), F.col(layer))
     expires = F.date_add(F.col(written).cast("date"), limit.cast("int"))
     return objects.withColumn("expira_el", expires).where(F.col("expira_el") <= as_of)
+
+
+def expire(spark: SparkSession, root: str, as_of: dt.date, journal: str, keep_days: dict[str, int] | None = None) -> DataFrame:
+    """Remove what ``root`` keeps longer than its layers allow; returns path, capa, dominio, expira_el, removed.
+
+    The plan is written to ``journal`` first, and tasks remove what the written plan names: a
+    lost executor or a second run removes the same objects, and finds some gone. Only objects in
+    ``layer/domain/fecha=D`` expire. Later runs add to the journal.
+    """
+    run = f"{journal.rstrip('/')}/as_of={as_of}/{uuid.uuid4().hex}"
+    objects = list_objects(spark, root).where("capa <> '' and fecha is not null")
+    plan = retention_expired(objects, F.lit(as_of), keep_days=keep_days).select("path", "capa", "dominio", "expira_el")
+    plan.write.parquet(f"{run}-plan")
+    plan = spark.read.schema(plan.schema).parquet(f"{run}-plan")
+    done = plan.join(remove(plan), "path")
+    done.write.parquet(f"{run}-done")
+    return spark.read.schema(done.schema).parquet(f"{run}-done")

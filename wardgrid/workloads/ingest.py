@@ -9,6 +9,7 @@ from ..functions.text import normalize_header
 from ..operators.air_api import daily_readings, select_sensors
 from ..operators.validation import check_rows, quarantined_rows, rejection_summary, valid_rows, visit_rules
 from ..params import DEFAULTS
+from ..plans.pipeline import raw_visits
 from ..sources.delimited import scan_delimited
 from ..sources.lake import (
     layer_folder,
@@ -444,5 +445,5 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .text(landing)
     )
     ingest_landed(spark, f"{landing}/*/*", lake, loaded, state).awaitTermination()
-    return spark.read.schema(schemas.RAW_VISITS).parquet(loaded).select(*schemas.VISIT_COLUMNS)
+    return raw_visits(spark, loaded).select(*schemas.VISIT_COLUMNS)
 
