@@ -253,3 +253,36 @@ def test_air_of_many_days_equals_day_by_day(spark, tmp_path):
     for lake in ("all", "one"):
         stored = spark.read.schema(schemas.AIR_LINES).json(str(tmp_path / lake / "raw" / "calidad_aire"))
         assert sorted(map(tuple, stored.select("fecha", "sensor_id", "valor_promedio").collect())) == sorted((r.fecha, r.sensor_id, r.valor_promedio) for r in apart)
+
+
+def test_station_average_of_odd_readings(spark):
+    """Values beyond the type or no numbers are missing; a station's position does not depend on the order of rows."""
+    from wardgrid.operators.stations import station_day
+
+    names = "fecha date, estacion_id long, sensor_id string, estacion_nombre string, fuente string, valor_promedio double, cobertura_pct double, latitud double, longitud double"
+    odd = [1e12, 1e13, -1e300, float("nan"), float("inf"), None]
+    rows = [(DAYS[0], 1, f"s{i}", "n", "f", v, 50.0, 1.0, 2.0) for i, v in enumerate(odd)]
+    rows += [(DAYS[0], 1, "ok", "n", "f", 10.0, 1e13, float("nan"), 2.5), (DAYS[0], 1, "ok2", "n", "f", 20.0, 70.0, 0.1, None)]
+    rows += [(DAYS[0], 2, "only", "n", "f", 1e14, 1.0, 1.0, 1.0)]
+    found = station_day(spark.createDataFrame(rows, names)).collect()
+    assert [(r.estacion_id, r.pm25_promedio_24h, r.cobertura_pct, r.latitud, r.longitud, r.sensores) for r in found] == [("1", 15.0, 70.0, 0.1, 2.5, 2)]
+
+    rng = random.Random(2)
+    rows = [(DAYS[0], 7, str(k), "n", "f", 1.0, 1.0, rng.uniform(-12.2, -11.8), rng.uniform(-77.2, -76.8)) for k in range(3000)]
+    seen = set()
+    for parts in (1, 3, 11):
+        rng.shuffle(rows)
+        r = station_day(spark.createDataFrame(rows, names).repartition(parts)).first()
+        seen.add((r.latitud, r.longitud))
+    assert len(seen) == 1
+
+
+def test_positions_over_ranges(spark):
+    from wardgrid.operators.ranking import with_position
+
+    values = [(random.Random(i).randrange(50), i) for i in range(5000)] + [(None, -1)]
+    table = spark.createDataFrame(values, "v int, i int").repartition(13)
+    found = with_position(table, [F.desc_nulls_last("v"), F.asc("i")], "place").collect()
+    want = sorted(values, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert sorted((r.place, r.v, r.i) for r in found) == [(n, *r) for n, r in enumerate(want, 1)]
+    assert with_position(table.limit(0), [F.asc("i")]).collect() == []

@@ -6,7 +6,7 @@ into one value; only the list of places in alert, one line of the format, is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..errors import QualityGateError
 from ..fixed_values import (
@@ -44,8 +44,12 @@ def report_order() -> list[Column]:
 
 
 def report_rows(mart: DataFrame) -> DataFrame:
-    """Report columns of every day, in report order within the day."""
-    return mart.select("fecha", *REPORT_COLUMNS).orderBy("fecha", *report_order())
+    """Report columns of every day; ``posicion`` is the row's place in its day's report, from 1.
+
+    The order is data, so it outlives every later shuffle; a day has one row per place.
+    """
+    position = F.row_number().over(Window.partitionBy("fecha").orderBy(*report_order()))
+    return mart.select("fecha", *REPORT_COLUMNS, position.alias("posicion"))
 
 
 def report_header(mart: DataFrame) -> DataFrame:

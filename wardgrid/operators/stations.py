@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Readings have three decimals; sums of this type are exact.
-EXACT = "decimal(18,6)"
+#: Sums of these types are exact, whatever the order of rows. Readings have three decimals, positions fewer than nine.
+EXACT, POSITION = "decimal(18,6)", "decimal(18,9)"
 
 
 def station_day(
@@ -26,16 +26,18 @@ def station_day(
     Two levels. The first groups by every text column and keeps only numeric
     buffers, which Spark hash-aggregates in each map task; the second takes the
     text maxima and the distinct sensors over the few rows left. A station-day
-    with most of the readings is already reduced before the shuffle. Values and
-    coverages are summed as decimals, so rounding does not depend on the order of rows.
+    with most of the readings is already reduced before the shuffle. All measures are
+    summed as decimals, so rounding, distances and the nearest station do not depend on the order
+    of rows. A value that is no number, or beyond the type, is a missing value: as a reading it
+    leaves its row out, elsewhere it does not count in the average.
     """
     measures = {
-        "v": F.col(value).cast(EXACT),
-        "c": F.col(coverage).cast(EXACT),
-        "a": F.col(latitude),
-        "o": F.col(longitude),
+        "v": F.col(value).try_cast(EXACT),
+        "c": F.col(coverage).try_cast(EXACT),
+        "a": F.col(latitude).try_cast(POSITION),
+        "o": F.col(longitude).try_cast(POSITION),
     }
-    per_sensor = readings.where(F.col(value).isNotNull()).groupBy(
+    per_sensor = readings.where(measures["v"].isNotNull()).groupBy(
         F.col(day).alias("fecha"),
         F.col(station).cast("string").alias("estacion_id"),
         F.col(name).alias("estacion_nombre"),
@@ -52,8 +54,8 @@ def station_day(
 
     return per_sensor.groupBy("fecha", "estacion_id").agg(
         F.max("estacion_nombre").alias("estacion_nombre"),
-        mean("a").alias("latitud"),
-        mean("o").alias("longitud"),
+        mean("a").cast("double").alias("latitud"),
+        mean("o").cast("double").alias("longitud"),
         F.round(mean("v"), 2).cast("double").alias("pm25_promedio_24h"),
         F.round(mean("c"), 1).cast("double").alias("cobertura_pct"),
         F.countDistinct("sensor_id").alias("sensores"),

@@ -145,6 +145,11 @@ def district_day_fact(
     return fact_columns(indicators(filled, params))
 
 
+def place_dimension(catalogue: DataFrame) -> DataFrame:
+    """The places of a catalogue for those who query: code, name, zone, position."""
+    return catalogue.select("ubigeo", "distrito", "zona", "latitud", "longitud")
+
+
 def fact_columns(computed: DataFrame) -> DataFrame:
     return computed.select(
         "fecha",

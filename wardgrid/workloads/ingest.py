@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from .. import schemas
 from ..functions.text import normalize_header
-from ..operators.air_api import daily_readings, select_sensors
+from ..operators.air_api import daily_readings, known_sensors, readings_of_days, select_sensors
+from ..operators.ranking import with_position
 from ..operators.validation import check_rows, quarantined_rows, rejection_summary, valid_rows, visit_rules
 from ..params import DEFAULTS
 from ..plans.pipeline import raw_visits
+from ..sources import daytable
 from ..sources.delimited import scan_delimited
 from ..sources.lake import (
     layer_folder,
@@ -345,6 +347,48 @@ def daily_value_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_readings(pages, F.col("dia")).drop("estacion_nombre", "latitud", "longitud")
 
 
+_DAYS_SQL = """
+    pages AS (
+      SELECT CAST(l_suppkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR) AS sensor_id, CAST(l_shipdate AS DATE) AS fecha,
+             l_partkey % 9 <> 0 AS measured, l_quantity,
+             row_number() OVER (PARTITION BY l_suppkey, l_linenumber, l_shipdate ORDER BY l_orderkey, l_partkey) AS place
+      FROM lineitem WHERE l_linenumber IN (1, 3))"""
+
+
+@query(
+    "readings_of_days",
+    f"""WITH {_DAYS_SQL},
+    sensors AS (
+      SELECT CAST(s_suppkey AS VARCHAR) AS estacion_id, CAST(s_suppkey AS VARCHAR) || CAST(n AS VARCHAR) AS sensor_id,
+             CASE WHEN s_suppkey % 5 = 0 THEN '2023-12-31' ELSE '1996-06-30' END AS visto
+      FROM supplier CROSS JOIN (VALUES (1), (3)) AS numbers(n) WHERE s_suppkey % 7 <> 0)
+    SELECT fecha, estacion_id, sensors.sensor_id, l_quantity AS valor_promedio
+    FROM pages JOIN sensors USING (sensor_id)
+    WHERE place = 1 AND measured AND fecha BETWEEN DATE '1996-01-01' AND DATE '1997-12-30'
+      AND visto >= CAST(fecha AS VARCHAR)""",
+)
+def readings_of_two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """730 requested days in one pass over one page of items per sensor; sensors count up to the day they were last seen."""
+    item = F.struct(
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity")).alias("value"),
+        F.struct(F.lit(None).cast("string").alias("name"), F.lit("µg/m³").alias("units")).alias("parameter"),
+        F.struct(F.struct(F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit("T00:00:00-05:00")).alias("local"))
+                 .alias("datetimeFrom")).alias("period"),
+        F.struct(F.lit(100.0).alias("percentComplete"), F.lit(24).cast("bigint").alias("observedCount")).alias("coverage"),
+    )
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber in (1, 3)")
+    # a sensor's page; its items in the order of orders
+    pages = lines.groupBy(F.concat(F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sensor_id")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_partkey", item.alias("item")))), lambda x: x["item"]).alias("results")
+    )
+    locations = _locations(spark, sf_dir).withColumn(
+        "datetimeLast", F.struct(F.when(F.col("id") % 5 == 0, "2023-12-31T23:00:00Z").otherwise("1996-06-30T05:00:00Z").alias("utc"))
+    )
+    days = spark.sql("select explode(sequence(date'1996-01-01', date'1997-12-30')) as fecha")
+    found = readings_of_days(pages, known_sensors(locations), days)
+    return found.select("fecha", "estacion_id", "sensor_id", "valor_promedio")
+
+
 # ---------------------------------------------------------------- lake and sinks
 @query(
     "partition_replace",
@@ -371,6 +415,41 @@ def partition_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder).select("dia", "event_id", "user_id")
 
 
+@query(
+    "day_table_replace",
+    """SELECT 'before' AS lectura, CAST(ts AS DATE) AS dia, event_id, user_id FROM events
+       UNION ALL
+       SELECT 'after', CAST(ts AS DATE), event_id,
+              CASE WHEN CAST(ts AS DATE) = DATE '2024-01-05' THEN -1 ELSE user_id END
+       FROM events
+       WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-06', DATE '2024-01-07')
+         AND NOT (CAST(ts AS DATE) = DATE '2024-01-08' AND event_type <> 'view')""",
+)
+def day_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day corrected, two emptied and one reduced at once; a reader from before still sees all days as they were."""
+    folder = new_folder(spark, "day-table")
+    rows = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("dia"), "event_id", "user_id", "event_type")
+    everything = rows.drop("event_type")
+    daytable.replace_days(everything, folder, "dia", everything.select("dia").distinct())
+    before = daytable.read(spark, folder, "dia", everything.schema)
+    changed = rows.where("dia = date'2024-01-05' or dia = date'2024-01-08' and event_type = 'view'").drop("event_type")
+    changed = changed.withColumn("user_id", F.when(F.col("dia") == "2024-01-05", F.lit(-1).cast("bigint")).otherwise(F.col("user_id")))
+    days = spark.sql("select explode(sequence(date'2024-01-05', date'2024-01-08')) as dia")
+    daytable.replace_days(changed, folder, "dia", days)
+    after = daytable.read(spark, folder, "dia", everything.schema)
+    marked = lambda df, name: df.select(F.lit(name).alias("lectura"), "dia", "event_id", "user_id")
+    return marked(before, "before").unionByName(marked(after, "after"))
+
+
+@query(
+    "row_positions",
+    """SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS posicion FROM orders""",
+)
+def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return with_position(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")], "posicion").select("o_orderkey", "posicion")
+
+
 @query("lineage_columns", "SELECT o_orderkey, o_custkey, 'orders' AS _archivo_origen FROM orders")
 def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")

@@ -11,12 +11,15 @@ from ..fixed_values import (
     AIR_CATEGORIES,
     AIR_SOURCES,
     CATEGORY_LABELS,
+    DISTRICT_ALIASES,
+    DISTRICTS,
     REPORT_CRITERIA,
     REPORT_TABLE_HEAD,
     REPORT_TABLE_RULE,
     REPORT_TITLE,
     ZONES,
 )
+from ..functions.text import normalize_text
 from ..operators.consumption import category_profile, latest_alerts, zone_ranking
 from ..operators.quality import (
     duplicates,
@@ -33,8 +36,9 @@ from ..operators.reconcile import reconcile_totals
 from ..operators.report import report_header, report_lines, report_rows
 from ..operators.resolve import resolve_alias
 from ..plans.checks import declared_checks
-from ..plans.models import build_models
+from ..plans.models import build_models, place_dimension
 from ..plans.refresh import refreshed_rows
+from ..sources.catalogue import district_aliases, districts
 from ..sources.lake import replace_days
 from ..sources.scratch import new_folder
 from . import derived_sql as sql
@@ -73,13 +77,45 @@ def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dim_place", f"WITH {sql.PLACES} SELECT * FROM places")
 def dim_place(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return places(spark, sf_dir)
+    return place_dimension(places(spark, sf_dir))
+
+
+def _values(rows: tuple[tuple, ...]) -> str:
+    quoted = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+    return ", ".join("(" + ", ".join(quoted(v) for v in r) + ")" for r in rows)
+
+
+_SPELT = tuple((i, alias, ubigeo) for i, (alias, ubigeo) in enumerate(DISTRICT_ALIASES))
+
+
+@query(
+    "catalogue_resolve",
+    f"""WITH names(i, alias, ubigeo) AS (VALUES {_values(_SPELT)}),
+        area(ubigeo, distrito, zona, latitud, longitud) AS (VALUES {_values(DISTRICTS)}),
+        spelt AS (SELECT c_acctbal, c_custkey % {len(_SPELT) + 3} AS i FROM customer)
+        SELECT area.ubigeo, distrito, zona, latitud, longitud, count(spelt.i) AS clientes,
+               count(DISTINCT spelt.i) AS grafias, CAST(coalesce(sum(round(c_acctbal)), 0) AS BIGINT) AS saldo
+        FROM area LEFT JOIN names ON names.ubigeo = area.ubigeo LEFT JOIN spelt ON spelt.i = names.i
+        GROUP BY ALL""",
+)
+def catalogue_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers under every spelling of the catalogue's aliases, and some unknown, counted per catalogued place."""
+    which = F.col("c_custkey") % (len(_SPELT) + 3)
+    known = F.get(F.array(*(F.lit(f"  {alias.lower().replace(' ', '  ')} ") for _, alias, _ in _SPELT)), which.cast("int"))
+    spelt = table(spark, sf_dir, "customer").select(
+        normalize_text(F.coalesce(known, F.lit("nowhere"))).alias("texto"), F.round("c_acctbal").cast("bigint").alias("saldo")
+    )
+    found = resolve_alias(spelt, district_aliases(spark), "texto", "alias_normalizado").groupBy("ubigeo").agg(
+        F.count(F.lit(1)).alias("clientes"), F.count_distinct("texto").alias("grafias"), F.sum("saldo").alias("saldo")
+    )
+    return place_dimension(districts(spark)).join(found, "ubigeo", "left").fillna(0, ["clientes", "grafias", "saldo"])
 
 
 @query(
     "latest_alerts",
     f"""{sql.ALL} SELECT fecha, distrito, zona, total_atenciones, pm25_promedio_24h, categoria_aire,
-        variacion_vs_7d_pct FROM fact WHERE fecha = (SELECT max(fecha) FROM fact) AND alerta_salud_publica""",
+        variacion_vs_7d_pct, row_number() OVER (ORDER BY pm25_promedio_24h DESC NULLS LAST, distrito) AS posicion
+        FROM fact WHERE fecha = (SELECT max(fecha) FROM fact) AND alerta_salud_publica""",
 )
 def alerts_of_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_alerts(fact(spark, sf_dir))
@@ -87,10 +123,11 @@ def alerts_of_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "category_profile",
-    f"""{sql.ALL} SELECT categoria_aire, count(*) AS distrito_dias,
+    f"""{sql.ALL} SELECT *, row_number() OVER (ORDER BY atenciones_promedio DESC, categoria_aire) AS posicion FROM (
+        SELECT categoria_aire, count(*) AS distrito_dias,
         CAST((sum(total_atenciones) * 20 + count(*)) // (2 * count(*)) AS DOUBLE) / 10 AS atenciones_promedio,
         CAST((sum(atenciones_menores_5) * 20 + count(*)) // (2 * count(*)) AS DOUBLE) / 10 AS menores_5_promedio
-        FROM fact WHERE fecha >= DATE '2024-02-05' - 30 GROUP BY categoria_aire""",
+        FROM fact WHERE fecha >= DATE '2024-02-05' - 30 GROUP BY categoria_aire)""",
 )
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_profile(fact(spark, sf_dir), F.lit("2024-02-05").cast("date"))
@@ -98,10 +135,11 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "zone_ranking",
-    f"""{sql.ALL} SELECT zona,
+    f"""{sql.ALL} SELECT *, row_number() OVER (ORDER BY dias_sobre_oms DESC, zona) AS posicion FROM (
+        SELECT zona,
         count(CASE WHEN categoria_aire IN ('SOBRE_GUIA_OMS', 'SOBRE_ECA_PERU') THEN 1 END) AS dias_sobre_oms,
         CAST(sum(total_atenciones) AS BIGINT) AS atenciones
-        FROM fact WHERE date_trunc('month', fecha) = DATE '2024-01-01' GROUP BY zona""",
+        FROM fact WHERE date_trunc('month', fecha) = DATE '2024-01-01' GROUP BY zona)""",
 )
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_ranking(fact(spark, sf_dir), F.lit("2024-01-20").cast("date"))
@@ -127,7 +165,10 @@ def header(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "report_rows",
     f"""{sql.ALL} SELECT fecha, distrito, zona, total_atenciones, atenciones_menores_5, atenciones_adultos_mayores,
-        pm25_promedio_24h, categoria_aire, variacion_vs_7d_pct, alerta_salud_publica FROM fact""",
+        pm25_promedio_24h, categoria_aire, variacion_vs_7d_pct, alerta_salud_publica,
+        row_number() OVER (PARTITION BY fecha ORDER BY alerta_salud_publica DESC,
+          CASE WHEN coalesce(pm25_promedio_24h, 0) = 0 THEN -1 ELSE pm25_promedio_24h END DESC,
+          total_atenciones DESC, distrito) AS posicion FROM fact""",
 )
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(fact(spark, sf_dir))

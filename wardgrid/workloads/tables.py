@@ -71,9 +71,9 @@ def raw_air(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "pm10").when(F.col("l_returnflag") == "N", "PM25").otherwise("pm25")
         .alias("parametro"),
         F.lit("µg/m³").alias("unidad"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_quantity") * (F.col("l_suppkey") % 4)).cast("decimal(6,2)")
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity") * (F.col("l_suppkey") % 4)).cast("double")
         .alias("valor_promedio"),
-        F.round(F.col("l_discount") * 1000).cast("decimal(6,0)").alias("cobertura_pct"),
+        F.round(F.col("l_discount") * 1000).cast("double").alias("cobertura_pct"),
         F.lit(24).cast("bigint").alias("n_observaciones"),
         F.when(F.col("l_linestatus") == "O", "openaq").otherwise("simulada").alias("fuente"),
         F.lit("lineitem").alias("_archivo_origen"),
