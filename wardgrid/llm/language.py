@@ -5,7 +5,8 @@ space), hashed to ``DIMENSIONS``. The kernel of two texts is the number of n-gra
 the geometric mean of their sizes. ``LANDMARKS`` training texts span the Nystroem space; a kernel ridge
 regression in it, one against the rest, gives one column of weights per language. A batch of texts is scored by two matrix products.
 
-Learned from at most ``SAMPLE`` labelled texts (those with the least hash of doc_id); everything else covers all rows.
+Learned from at most ``SAMPLE`` labelled texts of at most ``sampling.LONGEST`` bytes (those with the least hash of doc_id, one per doc_id);
+everything else covers all rows. Hashes are chosen first; only the texts of the chosen ones reach the driver.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; without any labelled text all are;
 repeated rows are predicted alike; other columns do no harm; empty tables give no rows.
@@ -21,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import seqhash
+from . import sampling, seqhash
 
 DIMENSIONS, ORDERS = 1 << 14, 3
 LANDMARKS, SAMPLE, RIDGE = 192, 3000, 1e-2
@@ -71,13 +72,13 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
     if not names:
         return None
     label = np.array([names.index(x) for x in languages])
-    rows = np.concatenate([presence(texts[i : i + _BATCH]) for i in range(0, len(texts), _BATCH)])
     each = -(-LANDMARKS // len(names))
-    landmarks = rows[np.concatenate([np.flatnonzero(label == k)[:each] for k in range(len(names))])]
+    landmarks = presence([texts[i] for i in np.concatenate([np.flatnonzero(label == k)[:each] for k in range(len(names))])])
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     project = vectors[:, keep] / np.sqrt(values[keep])
-    features = np.hstack([(rows @ landmarks.T) @ project, np.ones((len(rows), 1))])
+    near = np.concatenate([presence(texts[i : i + _BATCH]) @ landmarks.T for i in range(0, len(texts), _BATCH)])
+    features = np.hstack([near @ project, np.ones((len(texts), 1))])
     target = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
     share = np.bincount(label, minlength=len(names)) / len(label)
     weight = (1 / share / len(names))[label][:, None]  # rare languages count as much as common ones
@@ -87,14 +88,15 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
 
 
 def training_rows(docs: DataFrame, learn: str, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` labelled texts, chosen by a hash of doc_id that no content enters."""
-    known = docs.where(learn).where("lang is not null and text is not null")
-    return known.select("text", "lang", F.xxhash64(F.col("doc_id"), F.lit("language")).alias("at")).orderBy("at", "lang", "text").limit(sample).select("text", "lang")
+    """(text, lang) of at most ``sample`` labelled texts, one per doc_id, chosen by a hash of doc_id that no content enters."""
+    known = docs.where(learn).where("lang is not null").where(F.octet_length("text") <= sampling.LONGEST)
+    known = known.select(F.xxhash64(F.col("doc_id"), F.lit("language")).alias("at"), "text", "lang")
+    return sampling.texts_of(known, sampling.least(known, sample), ["lang", F.xxhash64("text"), "text"])
 
 
 def identify(docs: DataFrame, learn: str = "true", sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, lang_pred, score; ``learn`` is the SQL condition of rows to learn from."""
-    rows = training_rows(docs.select("doc_id", "text", "lang"), learn, sample).collect()
+    rows = sorted(training_rows(docs.select("doc_id", "text", "lang"), learn, sample).collect(), key=lambda r: r["at"])
     rows = [r for r in rows if _letters(r["text"])]
     model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_predict(model), "doc_id long, lang_pred string, score double")
