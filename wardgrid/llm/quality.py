@@ -2,8 +2,8 @@
 
 A word is a run of letters, of digits or of other signs (ASCII letters lower-cased); features are words and
 pairs of neighbouring words, and that a word equals the one before it or the one before that, hashed to ``DIMENSIONS``, weighted by the square root of their count and scaled
-to length one. The model is fitted on at most ``SAMPLE`` labelled documents (those with the least hash of
-doc_id), document by document, with per-coordinate rates; scoring is one sparse dot product per document.
+to length one. The model is fitted on at most ``SAMPLE`` labels (those with the least hash of doc_id and label), with one document of at
+most ``sampling.LONGEST`` bytes each, document by document, with per-coordinate rates; scoring is one sparse dot product per document.
 
 Defined cases: null and empty texts have no features and get the score of the intercept; rows without a label
 are only scored; without any label every score is 1; repeated rows score alike; columns named like the
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import seqhash
+from . import sampling, seqhash
 
 DIMENSIONS, SAMPLE, EPOCHS, THRESHOLD = 1 << 18, 4000, 3, 0.3
 #: Labels to learn from; the rest is held out.
@@ -98,19 +98,18 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) -> DataFrame:
-    """(text, quality) of at most ``sample`` labelled documents; the labels are broadcast, being that few."""
-    chosen = (
-        labels.where(learn).where("quality is not null and doc_id is not null")
-        .select("doc_id", "quality", F.xxhash64(F.col("doc_id"), F.lit("quality")).alias("at"))
-        .orderBy("at", "doc_id", "quality").limit(sample)
-    )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("at", "doc_id", "text", "quality")
+    """(at, text, quality) of at most ``sample`` labels, one row of documents each; the labels are broadcast, being that few."""
+    known = labels.where(learn).where("quality is not null and doc_id is not null")
+    known = known.select("doc_id", "quality", F.xxhash64(F.col("doc_id"), F.lit("quality"), F.col("quality").cast("int")).alias("at"))
+    chosen = known.join(F.broadcast(sampling.least(known, sample)), "at", "left_semi").distinct()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return sampling.texts_of(texts.join(F.broadcast(chosen), "doc_id"), chosen.select("at"), [F.xxhash64("text"), "text"])
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: str = "true", sample: int = SAMPLE) -> DataFrame:
     """``docs`` with the columns score (likelihood of label 1) and predicted; ``learn`` is the SQL condition of labels to use."""
-    rows = sorted(training_rows(docs, labels, learn, sample).collect(), key=lambda r: (r["at"], r["doc_id"], r["quality"], r["text"] or ""))
-    model = fit([r["text"] or "" for r in rows], [int(r["quality"]) for r in rows])
+    rows = sorted(training_rows(docs, labels, learn, sample).collect(), key=lambda r: r["at"])
+    model = fit([r["text"] for r in rows], [int(r["quality"]) for r in rows])
     docs = docs.drop("score", "predicted")
     carried = docs.schema.fields
 
