@@ -286,3 +286,43 @@ def test_positions_over_ranges(spark):
     want = sorted(values, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     assert sorted((r.place, r.v, r.i) for r in found) == [(n, *r) for n, r in enumerate(want, 1)]
     assert with_position(table.limit(0), [F.asc("i")]).collect() == []
+
+
+def test_late_files_cost_their_own_scan_only(spark, tmp_path, monkeypatch):
+    """Files scanned before are not read again, unless they changed; gone ones take their rows along."""
+    import os
+
+    from wardgrid.streaming import landing
+
+    scanned = []
+    once = landing.scan_files
+
+    def counted(session, paths, *more):
+        scanned.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return once(session, paths, *more)
+
+    monkeypatch.setattr(landing, "scan_files", counted)
+    folder, (lake, table, state) = tmp_path / "in put%", (str(tmp_path / n) for n in ("lake", "t", "state"))
+    folder.mkdir()
+
+    def put(name, day, n):
+        (folder / f"{name}_{day}.csv").write_text("\n".join([HEADER, f"{day:%d/%m/%Y};{name};Ate;60 +;J45;{n}", ""]))
+
+    def run():
+        scanned.clear()
+        ingest_landed(spark, str(folder), lake, table, state).awaitTermination()
+        return sorted((r.fecha_atencion.day, r.codigo_clinica, r.num_atenciones) for r in pipeline.raw_visits(spark, table).collect())
+
+    put("a", DAYS[0], 1)
+    put("b", DAYS[0], 2)
+    put("c", DAYS[1], 3)
+    assert run() == [(1, "a", 1), (1, "b", 2), (2, "c", 3)] and len(scanned) == 1
+    put("late 1", DAYS[0], 4)
+    assert run() == [(1, "a", 1), (1, "b", 2), (1, "late 1", 4), (2, "c", 3)] and scanned == [["late 1_2026-10-01.csv"]]
+    put("b", DAYS[0], 20)  # in place: seen when its day is touched again
+    os.utime(folder / "b_2026-10-01.csv", (2e9, 2e9))
+    (folder / "a_2026-10-01.csv").unlink()
+    put("e", DAYS[0], 5)
+    assert run() == [(1, "b", 20), (1, "e", 5), (1, "late 1", 4), (2, "c", 3)]
+    assert scanned == [["b_2026-10-01.csv", "e_2026-10-01.csv"]]
+    assert run() and scanned == []

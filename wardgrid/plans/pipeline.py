@@ -63,6 +63,15 @@ def stage_visits(
     raised: days with an unreadable file carry it in ``error`` and are not staged,
     and days over the limit are left to the caller.
     """
+    files, records = scan_files(spark, paths, day, strict)
+    # parsed and checked once; both layers and the summary read the written rows
+    return write_layers(files, write_through(records, "checked"), lake, params, strict)
+
+
+def scan_files(
+    spark: SparkSession, paths: str | list[str], day: dt.date | None = None, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(files, records): day, path and error of each file; checked rows with their day and path."""
     scan = scan_delimited(spark, paths)
     if strict:
         scan.require_readable()
@@ -70,12 +79,19 @@ def stage_visits(
     files = scan.files.select(expected.alias(DAY_FOLDER), "path", "error")
     if not files.where(F.col(DAY_FOLDER).isNull()).isEmpty():
         raise StructureError("a file path carries no day")
+    return files, checked_records(scan.records.withColumn(DAY_FOLDER, expected))
+
+
+def checked_records(records: DataFrame) -> DataFrame:
+    """Scanned records of days with what the rules make of them."""
+    return check_rows(records.withColumnRenamed("record_number", "_numero_fila"), visit_rules(F.col(DAY_FOLDER)))
+
+
+def write_layers(files: DataFrame, checked: DataFrame, lake: str, params: Parameters = DEFAULTS, strict: bool = True) -> DataFrame:
+    """Write the staged and quarantine layers of the days of ``files`` from checked rows; the summary, as ``stage_visits`` has it."""
     listed = files.groupBy(DAY_FOLDER).agg(
         F.min(F.concat(F.col("path"), F.lit(": "), F.col("error"))).alias("error")  # null without an error
     )
-    records = scan.records.withColumn(DAY_FOLDER, expected).withColumnRenamed("record_number", "_numero_fila")
-    # parsed and checked once; both layers and the summary read the written rows
-    checked = write_through(check_rows(records, visit_rules(F.col(DAY_FOLDER))), "checked")
     counted = rejection_summary(checked, DAY_FOLDER)
     numbers = [c for c in counted.columns if c != DAY_FOLDER]
     summary = write_through(listed.join(counted, DAY_FOLDER, "left").fillna(0, numbers), "summary")

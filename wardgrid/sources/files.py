@@ -105,6 +105,23 @@ def expanded(paths: list[str]) -> list[str] | None:
     return found
 
 
+def _stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, found = batch["path"].to_pylist(), []
+        for path in paths:
+            system, inside, _ = filesystem(path)
+            found.append(system.get_file_info(inside))
+        there = [i.type == fs.FileType.File for i in found]
+        sizes = pa.array([i.size if t else None for i, t in zip(found, there, strict=True)], pa.int64())
+        times = pa.array([i.mtime if t else None for i, t in zip(found, there, strict=True)], pa.timestamp("us", "UTC"))
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), sizes, times], names=["path", "size", "modified"])
+
+
+def stat(paths: DataFrame) -> DataFrame:
+    """path, size, modified of each file of ``paths`` as it is now; null where it is gone."""
+    return paths.select("path").mapInArrow(_stat, "path string, size long, modified timestamp")
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths, removed = batch["path"].to_pylist(), []
