@@ -5,7 +5,7 @@ import random
 import pytest
 from llm.test_operators import by_bytes, by_words, plain
 
-from wardgrid.llm import decontaminate, suffix_dedup, window_dedup
+from wardgrid.llm import decontaminate, repeats, suffix_dedup, window_dedup
 from wardgrid.llm.workers import importable
 
 
@@ -36,3 +36,22 @@ def test_contamination_of_shared_ids(shared, rows):
     items = shared.sparkSession.createDataFrame([(1, passage)], "item_id long, text string")
     assert plain(decontaminate.clean(shared, items)) == sorted((r for n, r in enumerate(rows) if n % 2 == 0), key=repr)
     assert decontaminate.contaminated_documents(shared, items).count() == len(rows) // 2
+
+
+@pytest.mark.parametrize("find", [suffix_dedup.repeated_spans, window_dedup.repeated_spans])
+def test_spans_do_not_grow_with_equal_rows(spark, find):
+    """Thousands of rows equal in doc_id and text give the spans that three give, and are joined with them once."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    text, other, shared = (" ".join(word() for _ in range(300)) for _ in range(3))
+    counts, results = [], []
+    for n in (3, 3000):
+        rows = [(None, text)] * n + [(1, f"{other} {shared}"), (2, f"{shared} {text}"), (3, other[:900])]
+        docs = importable(spark).createDataFrame(rows, "doc_id long, text string").repartition(7)
+        spans = repeats.by_document(find(docs)).collect()
+        counts.append(sum(len(r.spans) for r in spans))
+        results.append(sorted((r.doc, sorted(map(tuple, r.spans))) for r in spans))
+        dedup = suffix_dedup.suffix_dedup if find is suffix_dedup.repeated_spans else window_dedup.window_dedup
+        found = [r for r in dedup(docs).collect() if r.doc_id is None]
+        assert len(found) == n and len({tuple(r) for r in found}) == 1 and found[0].n_removed == found[0][1]
+    assert counts[0] == counts[1] and results[0] == results[1]

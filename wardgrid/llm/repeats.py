@@ -2,7 +2,8 @@
 
 Rows of documents are told apart by ``doc`` and ``mark``, two independent 64-bit hashes of the whole row identity (whether
 there is a doc_id, the doc_id, the text), so that a repeated or missing doc_id does no harm; only rows equal in both
-doc_id and text share them. A run is a stretch of
+doc_id and text share them. However many such rows there are, two of them are searched, which finds what all would, and
+all get the result. A run is a stretch of
 neighbouring windows of one document that choose the same part (``seqhash.chosen``):
 doc, mark, low (first start), high (last start), part and body (hashes of the part and of all its elements).
 """
@@ -28,6 +29,17 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(*_identity())
 
 
+def searched(docs: DataFrame) -> DataFrame:
+    """As ``identified``, with two rows of each group of more equal ones. Of those only hashes and a count travel, and one text per task."""
+    texts = identified(docs)
+    many = staged(texts.groupBy("doc", "mark").agg(F.count("*").alias("n")).where("n > 2").select("doc", "mark"), "equal")
+    if many.isEmpty():
+        return texts
+    one = texts.join(many, ["doc", "mark"], "left_semi").groupBy("doc", "mark").agg(F.first("text").alias("text"))
+    two = one.withColumn("_", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_")
+    return texts.join(many, ["doc", "mark"], "left_anti").unionByName(staged(two, "two-of-equal"))
+
+
 def _identity() -> list:
     text, doc_id = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id").cast("long")
     of = lambda seed: F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text)
@@ -101,8 +113,8 @@ def whole_runs(alive: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
 
 
 def by_document(spans: DataFrame) -> DataFrame:
-    """All spans of a document in one row; bounded by the length of the document."""
-    return spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "end")).alias("spans"))
+    """All spans of a document in one row, those of equal rows once; bounded by the length of the document."""
+    return spans.groupBy("doc", "mark").agg(F.collect_set(F.struct("low", "end")).alias("spans"))
 
 
 def covered(length: int, spans) -> np.ndarray:
@@ -122,7 +134,7 @@ def pieces(texts: DataFrame, wanted: DataFrame, cut: Callable, schema: str) -> D
     """
     texts = texts if "base" in texts.columns else texts.withColumn("base", F.lit(0))
     others = [c for c in wanted.columns if c not in ("doc", "mark")]
-    places = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct(*others)).alias("places"))
+    places = wanted.groupBy("doc", "mark").agg(F.collect_set(F.struct(*others)).alias("places"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -39,7 +39,8 @@ _SPAN = "doc long, mark long, low int, end int"
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, mark, low, end: stretches covered by a string of ``length`` bytes that also starts elsewhere."""
-    found = repeats.staged(repeats.runs(repeats.identified(docs), repeats.bytes_of, length, min(PART, length)), "runs")
+    texts = repeats.searched(docs)
+    found = repeats.staged(repeats.runs(texts, repeats.bytes_of, length, min(PART, length)), "runs")
     alive = repeats.staged(repeats.with_repeated_part(found), "alive")
     distinct = repeats.staged(repeats.bodies(alive), "bodies")
     several = distinct.where("several")
@@ -56,7 +57,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         texts = [data[x : x + c + length - 1] for x, c in zip(low, count, strict=True)]
         return [*(places.field(k).to_pylist() for k in names), [doc] * n, [mark] * n, low, count, places.field("crowded").to_pylist(), texts]
 
-    brought = repeats.staged(repeats.pieces(repeats.identified(docs), wanted, cut, _BODY), "texts")
+    brought = repeats.staged(repeats.pieces(texts, wanted, cut, _BODY), "texts")
     met = (
         brought.where("not crowded").repartition("part").sortWithinPartitions("part").mapInArrow(_by_suffixes(length), _SPAN)
     )

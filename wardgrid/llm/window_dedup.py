@@ -67,7 +67,7 @@ def _stretches(texts: DataFrame, alive: DataFrame, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc, mark, low, end: words covered by a window of ``window`` words that also starts elsewhere."""
     short, long = levels(window)
-    texts = repeats.identified(docs)
+    texts = repeats.searched(docs)
     found = repeats.staged(repeats.runs(texts, repeats.words_of, window, short), "level1")
     alive = repeats.with_repeated_part(found)
     stretches = repeats.staged(_stretches(texts, alive, window), "stretches")
