@@ -31,3 +31,20 @@ def test_patterns(tmp_path):
 
 def test_other_schemes_are_not_reached():
     assert not files.can_list("nofs://x/y") and files.can_list("/tmp") and files.can_list("file:/tmp/not there")
+
+
+def test_cluster_schemes_are_named_as_python_names_them(monkeypatch):
+    asked = []
+
+    class Stub:
+        LocalFileSystem = files.fs.LocalFileSystem
+
+        class FileSystem:
+            @staticmethod
+            def from_uri(uri):
+                asked.append(uri)
+                return None, uri.split("://")[1]
+
+    monkeypatch.setattr(files, "fs", Stub)
+    assert files.filesystem("s3a://bucket/a b/c")[1] == "bucket/a b/c" and asked == ["s3://bucket/a b/c"]
+    assert files.filesystem("file:/a%20b")[1] == "/a b" and files.filesystem("/a%20b")[1] == "/a%20b"

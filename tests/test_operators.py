@@ -362,3 +362,16 @@ def test_lake_keys_and_retention(spark):
     for day, layers in (("2026-03-31", set()), ("2026-04-01", {"cuarentena"}), ("2029-01-01", {"raw", "staged", "cuarentena"})):
         expired = lake.retention_expired(objects, F.lit(day).cast("date"))
         assert {r.capa for r in expired.collect()} == layers
+
+
+def test_grid_of_many_arrays_of_places(spark, monkeypatch):
+    from wardgrid.operators import grid
+
+    monkeypatch.setattr(grid, "CHUNK", 7)
+    days = spark.createDataFrame([(DAY + dt.timedelta(i), i) for i in range(9)], "fecha date, n int")
+    places = spark.range(50).select(F.col("id").cast("string").alias("ubigeo"), (F.col("id") * 2).alias("x.y"))
+    found = grid.dense_grid(days, places, "ubigeo")
+    assert found.columns == ["fecha", "n", "ubigeo", "x.y"]
+    assert sorted(map(tuple, found.collect())) == sorted((DAY + dt.timedelta(i), i, str(k), 2 * k) for i in range(9) for k in range(50))
+    for a, b in ((days.limit(0), places), (days, places.limit(0))):
+        assert grid.dense_grid(a, b, "ubigeo").collect() == []

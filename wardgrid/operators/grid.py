@@ -14,18 +14,27 @@ def calendar_of(*sources: tuple[DataFrame, str], name: str = "fecha") -> DataFra
     return united.distinct()
 
 
+#: Places that one row carries.
+CHUNK = 1024
+
+
 def dense_grid(calendar: DataFrame, places: DataFrame, place_key: str) -> DataFrame:
     """Every day with every place.
 
-    Written as an equi-join: places are dealt over as many slots as a shuffle has
-    partitions and each day visits every slot, so the product is built in parallel
-    on both sides and no task sees all places. When one side is small, Spark
-    broadcasts it by size.
+    Places are gathered to arrays of about ``CHUNK``, and each day meets each array once, by an
+    equi-join on its number; the product is unfolded where the days are. So days times
+    arrays, and the places, are all that is moved: with up to ``CHUNK`` places, days and places.
+    Days are dealt over all tasks first, so that the unfolding is spread. The arrays are few rows, which
+    Spark broadcasts by their size.
     """
-    slots = int(calendar.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = places.withColumn("_slot", F.pmod(F.xxhash64(place_key), F.lit(slots)).cast("int"))
-    visits = calendar.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return visits.join(dealt, "_slot").drop("_slot")
+    chunks = max(1, -(-places.count() // CHUNK))
+    held = F.struct(*(F.col(f"`{c}`") for c in places.columns))
+    number = F.pmod(F.xxhash64(place_key), F.lit(chunks)).cast("int")
+    arrays = places.groupBy(number.alias("_chunk")).agg(F.collect_list(held).alias("_places"))
+    tasks = int(calendar.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meeting = calendar.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).repartition(tasks)
+    met = meeting.join(arrays, "_chunk").select(*calendar.columns, F.explode("_places").alias("_place"))
+    return met.select(*calendar.columns, "_place.*")
 
 
 def fill_grid(
