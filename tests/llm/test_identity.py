@@ -5,7 +5,7 @@ import random
 import pytest
 from llm.test_operators import by_bytes, by_words, plain
 
-from wardgrid.llm import decontaminate, repeats, suffix_dedup, window_dedup
+from wardgrid.llm import arrow_ids, decontaminate, repeats, suffix_dedup, window_dedup
 from wardgrid.llm.workers import importable
 
 
@@ -55,3 +55,22 @@ def test_spans_do_not_grow_with_equal_rows(spark, find):
         found = [r for r in dedup(docs).collect() if r.doc_id is None]
         assert len(found) == n and len({tuple(r) for r in found}) == 1 and found[0].n_removed == found[0][1]
     assert counts[0] == counts[1] and results[0] == results[1]
+
+
+def test_arrow_ids_deals_rows_without_an_id(spark):
+    """Different texts with one or no doc_id go to many files; all are read back, in the order of ids."""
+    rows = [(None, f"text {i}") for i in range(3000)] + [(7, f"more {i}") for i in range(3000)] + [(8, "last")]
+    docs = importable(spark).createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = arrow_ids.new_folder(spark, "ids")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else so few rows go to one task
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        files = arrow_ids.write_ids(docs, folder)
+    finally:
+        spark.conf.set(key, old)
+    assert files.count() > 3 and files.agg({"documents": "max"}).first()[0] < 3000
+    found = arrow_ids.read_ids(files, folder).collect()
+    found.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [None] * 3000 + [7] * 3000 + [8]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:], strict=False))

@@ -5,12 +5,12 @@ vocabularies), ``mask`` (whether a place holds an id) and ``ends`` (whether it c
 ``doc_ids``, the documents that end in the row. All rows but a file's last are full, so row i of a
 memory-mapped file is found by arithmetic and read without copying.
 
-Documents are dealt to tasks by ranges of doc_id; each task writes one file under a name of its own, and only
+Documents are dealt to tasks by ranges of doc_id and, of one doc_id or none, of a hash of the text; each task writes one file under a name of its own, and only
 the names that finished tasks return count, so a task may be run again. Where each file's ids begin follows
 from the counts of the files, one row each.
 
 Defined cases: null or empty texts are one closing id; a missing doc_id comes first; rows that share a doc_id
-stand in the order of their texts; other columns do no harm; empty tables give no rows.
+stand in the order of a hash of their texts; other columns do no harm; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import filesystem
 from ..sources.scratch import new_folder
 from . import tokens
 from .repeats import staged
@@ -100,7 +101,7 @@ def write_ids(docs: DataFrame, folder: str, length: int = LENGTH, end_id: int =
             for row, ids, at in tokens.encoded(batch["text"], path, end_id):
                 if writer is None:
                     task = batch["task"][0].as_py()
-                    store, root = fs.FileSystem.from_uri(folder)
+                    store, root, _ = filesystem(folder)
                     store.create_dir(root, recursive=True)
                     sink = store.open_output_stream(f"{root}/{name}")
                     writer = _Writer(sink, length, kind)
@@ -111,13 +112,14 @@ def write_ids(docs: DataFrame, folder: str, length: int = LENGTH, end_id: int =
             columns = ([task], [name], [writer.documents], [writer.written])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["task", "name", "documents", "ids"])
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", F.xxhash64("text"))
+    ranged = ranged.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return staged(ranged.withColumn("task", F.spark_partition_id()).mapInArrow(write, _FILES), "files")
 
 
 def sequences(folder: str, name: str, memory_map: bool = True) -> pa.ipc.RecordBatchFileReader:
     """Random access to the batches of one file; a local file is mapped, not read."""
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root, _ = filesystem(folder)
     place = f"{root}/{name}"
     return pa.ipc.open_file(pa.memory_map(place) if memory_map and isinstance(store, fs.LocalFileSystem) else store.open_input_file(place))
 
