@@ -174,6 +174,8 @@ def days_without_rows(mart: DataFrame, requested: DataFrame, day: str = "fecha")
 
 
 def require_days(mart: DataFrame, requested: DataFrame, day: str = "fecha", shown: int = 20) -> None:
-    missing = [str(r[0]) for r in days_without_rows(mart, requested, day).select(day).orderBy(day).take(shown)]
+    absent = days_without_rows(mart, requested, day).select(day).distinct()
+    missing = [str(r[0]) for r in absent.orderBy(day).take(shown)]
     if missing:
-        raise QualityGateError(f"the table has no rows for {', '.join(missing)}")
+        more = absent.count() - shown if len(missing) == shown else 0
+        raise QualityGateError(f"the table has no rows for {', '.join(missing)}" + (f" and {more} more days" if more else ""))
