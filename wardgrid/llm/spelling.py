@@ -157,11 +157,12 @@ def near_pairs(words: DataFrame, crowd: int = CROWD, very_long: int = VERY_LONG)
     index = staged(words.select("word", "n").mapInArrow(_index(dictionary(words)), _INDEXED).withColumn("id", F.monotonically_increasing_id()), "index")
     entries = index.withColumn("key", F.explode("grams")).drop("grams")
     lists = staged(entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "lists")
+    entries = entries.where(F.col("size") <= very_long)
     light = entries.join(lists.where(F.col("members") <= crowd).select("key"), "key")
     enough = F.size(F.array_intersect("tokens_one", "tokens_two")) >= F.greatest("bound_one", "bound_two")
     merged = _met(light, ["word", "n", "tokens", "bound"]).where(enough)
 
-    crowded = entries.where(F.col("size") <= very_long).join(lists.where(F.col("members") > crowd).select("key"), "key")
+    crowded = entries.join(lists.where(F.col("members") > crowd).select("key"), "key")
     parts = staged(crowded.select("id", "word", "n", "size", "key").mapInArrow(_contexts, "id long, word string, n long, size int, key long"), "contexts")
     sizes = staged(parts.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "parts")
     split = _met(parts.join(sizes.where(F.col("members") <= crowd).select("key"), "key"), ["word", "n"])
@@ -169,8 +170,13 @@ def near_pairs(words: DataFrame, crowd: int = CROWD, very_long: int = VERY_LONG)
     rest = parts.join(sizes.where(F.col("members") > crowd), "key").select("id", "word")
     rest = staged(rest.unionByName(index.where((F.col("bound") < 1) | (F.col("size") >= very_long)).select("id", "word")).distinct(), "rest")
     pair = ["word_one", "word_two", "n_one", "n_two"]
-    met = merged.select(pair).unionByName(split.select(pair)).unionByName(_by_deletions(index, rest).select(pair))
-    return _verified(met).distinct()
+    near = F.levenshtein("word_one", "word_two", 1) == 1
+    met = merged.select(pair).unionByName(split.select(pair)).where(near)
+    turned = F.col("word_one") > F.col("word_two")
+    lesser = [F.when(turned, F.col(f"{c}_two")).otherwise(F.col(f"{c}_one")).alias(f"{c}_one") for c in ("word", "n")]
+    greater = [F.when(turned, F.col(f"{c}_one")).otherwise(F.col(f"{c}_two")).alias(f"{c}_two") for c in ("word", "n")]
+    met = met.select(*lesser, *greater).unionByName(_verified(_by_deletions(index, rest).select(pair)))
+    return met.distinct().withColumnsRenamed({"word_one": "one", "word_two": "two"})
 
 
 def _met(listed: DataFrame, columns: list[str]) -> DataFrame:
@@ -199,18 +205,14 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(met: DataFrame) -> DataFrame:
-    """Pairs exactly one edit apart, of (word_one, word_two, n_one, n_two); the lesser word is ``one``."""
+    """Pairs exactly one edit apart, words of any length among them."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [one_edit(a.as_py(), b.as_py()) for a, b in zip(batch["one"], batch["two"], strict=True)]
+            near = [one_edit(a.as_py(), b.as_py()) for a, b in zip(batch["word_one"], batch["word_two"], strict=True)]
             yield batch.filter(pa.array(near, pa.bool_()))
 
-    turned = F.col("word_one") > F.col("word_two")
-    first, last = ("one", "two"), ("two", "one")
-    pick = lambda c, i: F.when(turned, F.col(f"{c}_{last[i]}")).otherwise(F.col(f"{c}_{first[i]}"))
-    met = met.select(pick("word", 0).alias("one"), pick("word", 1).alias("two"), pick("n", 0).alias("n_one"), pick("n", 1).alias("n_two"))
-    return met.mapInArrow(verify, "one string, two string, n_one long, n_two long")
+    return met.mapInArrow(verify, "word_one string, word_two string, n_one long, n_two long")
 
 
 def one_edit(one: str, two: str) -> bool:
