@@ -23,7 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; unlabelled ones are judged alike."""
+    """Documents that the quality classifier does not reject; unlabelled ones are judged alike.
+
+    Null and empty texts get the score of the intercept, equal texts the same decision; without any label all stay; other
+    columns than those of documents go."""
     labels = _table(importable(spark), sf_dir, "labels")
     return quality.score(docs.select(COLUMNS), labels, learn=quality.LEARN).where("predicted = 1").select(COLUMNS)
 
@@ -53,12 +56,13 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item. Null and empty texts, and all documents where there is no item, stay; equal rows share their fate."""
     return decontaminate.clean(docs.select(COLUMNS), _table(importable(spark), sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces of all documents in sequences."""
+    """Places of all pieces of all documents in sequences. A null or empty text is one closing id; each of equal rows has its own place; an
+    empty table gives no rows."""
     importable(spark)
     return packing.pack(docs)
 
@@ -71,11 +75,12 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Stages that learn a model and tokenise cannot be put as SQL; tests run the near-duplicate and substring stages, not the whole of ``run``.
+#: Stages that learn a model and tokenise cannot be put as SQL; a test compares ``run`` with plain versions of its stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written and read again. Extra columns of documents are left behind by the first stage."""
     docs = _table(importable(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
