@@ -1,11 +1,14 @@
 """The stages that keep one of each group and then remove repeated passages, on repeated rows and missing ids."""
 
 import random
+import zlib
 
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wardgrid.llm import hyperminhash
+from wardgrid.llm import hyperminhash, tokens
 from wardgrid.llm.workers import importable
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, more string"
@@ -65,3 +68,34 @@ def test_equal_rows_beyond_one_array(session, monkeypatch):
 def test_stages_of_an_empty_table(session):
     for df in stages(session, table(session, [(1, "a b", "en")]).limit(0)):
         assert df.columns == corpus_pipeline.COLUMNS and df.count() == 0
+
+
+def test_run_equals_plain_versions_of_its_stages(session, tmp_path):
+    """Junk, copies, near copies, a shared passage, a benchmark item, odd rows, extra columns: what stays is packed piece by piece."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    a, b, c, d, e, f, g = texts(7)
+    passage, item = (" ".join(word() for _ in range(n)) for n in (40, 20))
+    good = {i: " ".join(word() for _ in range(50)) for i in range(200, 240)}
+    junk = {i: "buy now " * rng.randint(20, 40) + word() for i in range(300, 340)}
+    rows = [(1, a), (2, a), (3, near(a)), (None, b), (None, b), (5, None), (6, ""), (7, "\t "), (8, f"{c} {passage}"), (9, f"{passage} {d}")]
+    rows += [(10, f"{e} {item} {g}"), (11, f), (12, "z " * 9000), *good.items(), *junk.items()]
+    table(session, [(i, t, "en") for i, t in rows]).write.parquet(str(tmp_path / "documents.parquet"))
+    marks = [(i, 1, 0) for i in good] + [(i, 0, 0) for i in junk]
+    session.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    session.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    want = [(1, a), (None, b), (5, ""), (6, ""), (7, "\t "), (8, c), (9, d), (11, f), *good.items()]  # of 12 all windows repeat
+    want.append((12, ""))
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    pieces = []
+    for i, text in want:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        pieces += [(repr(i), len(p), zlib.crc32(np.array(p, "<u4"))) for p in (ids[low : low + 4096] for low in range(0, len(ids), 4096))]
+    found = corpus_pipeline.run(session, str(tmp_path)).collect()
+    assert sorted((repr(r.doc_id), r.length, r.ids_crc32) for r in found) == sorted(pieces)
+    filled = {}
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 4096 and len(filled) == -(-sum(p[1] for p in pieces) // 4096)
