@@ -70,7 +70,7 @@ def freshness(
     )
 
 
-# -------------------------------------------------------------------- runner
+# ------------------------------------------------------------- declarations
 @dataclass(frozen=True)
 class RowRule:
     """A condition that marks a row as a violation."""
@@ -81,25 +81,77 @@ class RowRule:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class Unique:
+    """A key that holds the table's day: its repetitions lie within a day."""
+
+    columns: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Allowed:
+    """Values of a column are the given ones or those of a parent; the days keep the distinct values."""
+
+    column: str
+    values: tuple[str, ...] | DataFrame
+
+
+@dataclass(frozen=True)
+class Total:
+    """The sum of a column per day, of the rows whose text is known where ``known`` is given."""
+
+    table: str
+    data: DataFrame
+    day: str
+    value: str
+    text: str | None = None
+    known: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class SameTotals:
+    """Two totals that must agree on every day."""
+
+    left: Total
+    right: Total
+
+
 @dataclass(frozen=True)
 class SetRule:
-    """A DataFrame of violations that needs grouping or a join."""
+    """A DataFrame of violations that needs grouping or a join; ``by_day`` says how days keep what it needs."""
 
     name: str
     violations: DataFrame
     severity: str = ERROR
+    by_day: Unique | Allowed | SameTotals | None = None
 
 
 @dataclass(frozen=True)
 class TableChecks:
-    """All checks of one table."""
+    """All checks of one table; ``day`` names its day column, if it has one."""
 
     table: str
     data: DataFrame
     rows: tuple[RowRule, ...] = ()
     sets: tuple[SetRule, ...] = field(default=())
+    day: str | None = None
+
 
+def unique_rule(name: str, df: DataFrame, columns: list[str]) -> SetRule:
+    return SetRule(name, duplicates(df, columns), by_day=Unique(tuple(columns)))
 
+
+def domain_rule(name: str, df: DataFrame, column: str, accepted: tuple[str, ...]) -> SetRule:
+    return SetRule(name, not_accepted(df, column, accepted), by_day=Allowed(column, accepted))
+
+
+def parent_rule(
+    name: str, df: DataFrame, column: str, parent: DataFrame, parent_column: str, severity: str = ERROR
+) -> SetRule:
+    return SetRule(name, orphans(df, column, parent, parent_column), severity, Allowed(column, parent.select(parent_column)))
+
+
+# -------------------------------------------------------------------- runner
 def _row_counts(checks: TableChecks) -> DataFrame:
     """Violations of every row rule of a table, counted in one scan."""
     counts = checks.data.agg(*(F.count_if(r.violated).alias(f"n{i}") for i, r in enumerate(checks.rows)))

@@ -8,15 +8,19 @@ from ..fixed_values import AGE_GROUPS, AIR_CATEGORIES, AIR_SOURCES, ZONES
 from ..operators.quality import (
     WARN,
     RowRule,
+    SameTotals,
     SetRule,
     TableChecks,
-    duplicates,
+    Total,
+    domain_rule,
     is_null,
     negative,
     not_accepted,
     orphans,
     out_of_range,
+    parent_rule,
     repeated_values,
+    unique_rule,
 )
 from ..operators.reconcile import reconcile_totals
 from ..params import DEFAULTS, Parameters
@@ -64,38 +68,40 @@ def declared_checks(models: Models, params: Parameters = DEFAULTS) -> list[Table
             m.visits,
             (*_filled("fecha_atencion", "distrito_reportado", "num_atenciones"), _not_negative("num_atenciones")),
             (
-                SetRule("combinacion_unica", duplicates(m.visits, VISIT_KEY)),
-                SetRule(
-                    "distritos_sin_mapear",
-                    orphans(m.visits, "distrito_reportado", m.aliases, "alias_normalizado"),
-                    WARN,
+                unique_rule("combinacion_unica", m.visits, VISIT_KEY),
+                parent_rule(
+                    "distritos_sin_mapear", m.visits, "distrito_reportado", m.aliases, "alias_normalizado", WARN
                 ),
-                SetRule("dominio_grupo_edad", not_accepted(m.visits, "grupo_edad", AGE_GROUPS)),
+                domain_rule("dominio_grupo_edad", m.visits, "grupo_edad", AGE_GROUPS),
             ),
+            day="fecha_atencion",
         ),
         TableChecks(
             "stg_mediciones_aire",
             m.air,
             (*_filled("fecha", "estacion_id", "pm25_promedio_24h"), _in_range("pm25_promedio_24h", *AMBIENT_RANGE)),
             (
-                SetRule("combinacion_unica", duplicates(m.air, ["fecha", "estacion_id"])),
-                SetRule("dominio_fuente", not_accepted(m.air, "fuente", AIR_SOURCES)),
+                unique_rule("combinacion_unica", m.air, ["fecha", "estacion_id"]),
+                domain_rule("dominio_fuente", m.air, "fuente", AIR_SOURCES),
             ),
+            day="fecha",
         ),
         TableChecks(
             "int_atenciones_distrito_dia",
             m.district_visits,
             (*_filled("ubigeo", "total_atenciones"), _not_negative("total_atenciones")),
             (
-                SetRule("combinacion_unica", duplicates(m.district_visits, ["fecha", "ubigeo"])),
-                SetRule("relacion_ubigeo", orphans(m.district_visits, "ubigeo", m.districts, "ubigeo")),
+                unique_rule("combinacion_unica", m.district_visits, ["fecha", "ubigeo"]),
+                parent_rule("relacion_ubigeo", m.district_visits, "ubigeo", m.districts, "ubigeo"),
             ),
+            day="fecha",
         ),
         TableChecks(
             "int_pm25_distrito_dia",
             m.district_air,
             (_in_range("distancia_estacion_km", 0, params.station_radius_km), *_filled("pm25_promedio_24h")),
-            (SetRule("combinacion_unica", duplicates(m.district_air, ["fecha", "ubigeo"])),),
+            (unique_rule("combinacion_unica", m.district_air, ["fecha", "ubigeo"]),),
+            day="fecha",
         ),
         TableChecks(
             "dim_distrito",
@@ -112,10 +118,11 @@ def declared_checks(models: Models, params: Parameters = DEFAULTS) -> list[Table
                 _in_range("pm25_promedio_24h", *AMBIENT_RANGE),
             ),
             (
-                SetRule("combinacion_unica", duplicates(m.fact, ["fecha", "ubigeo"])),
-                SetRule("relacion_ubigeo", orphans(m.fact, "ubigeo", m.districts, "ubigeo")),
-                SetRule("dominio_categoria_aire", not_accepted(m.fact, "categoria_aire", AIR_CATEGORIES)),
+                unique_rule("combinacion_unica", m.fact, ["fecha", "ubigeo"]),
+                parent_rule("relacion_ubigeo", m.fact, "ubigeo", m.districts, "ubigeo"),
+                domain_rule("dominio_categoria_aire", m.fact, "categoria_aire", AIR_CATEGORIES),
             ),
+            day="fecha",
         ),
         TableChecks(
             "conciliacion",
@@ -127,7 +134,15 @@ def declared_checks(models: Models, params: Parameters = DEFAULTS) -> list[Table
                     reconcile_totals(
                         mapped, "fecha_atencion", "num_atenciones", m.fact, "fecha", "total_atenciones"
                     ),
+                    by_day=SameTotals(
+                        Total(
+                            "stg_atenciones", m.visits, "fecha_atencion", "num_atenciones", "distrito_reportado",
+                            m.aliases.select("alias_normalizado"),
+                        ),
+                        Total("fct_distrito_dia", m.fact, "fecha", "total_atenciones"),
+                    ),
                 ),
             ),
+            day="fecha",
         ),
     ]

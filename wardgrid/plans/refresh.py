@@ -97,8 +97,8 @@ def refresh_mart(
     params: Parameters = DEFAULTS,
     places: DataFrame | None = None,
     aliases: DataFrame | None = None,
-) -> None:
-    """Bring a finished table up to date after the raw partitions of ``changed`` were replaced."""
+) -> DataFrame:
+    """Bring a finished table up to date after the raw partitions of ``changed`` were replaced; returns the days it replaced."""
     rows, days = refreshed_rows(
         daytable.read(spark, visits_table, "fecha_atencion", schemas.RAW_VISITS),
         daytable.read(spark, air_table, "fecha", schemas.RAW_AIR),
@@ -109,3 +109,4 @@ def refresh_mart(
         params,
     )
     daytable.replace_days(rows, mart, "fecha", days)
+    return days

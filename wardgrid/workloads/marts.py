@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,6 +39,8 @@ from ..operators.resolve import resolve_alias
 from ..plans.checks import declared_checks
 from ..plans.models import build_models, place_dimension
 from ..plans.refresh import refreshed_rows
+from ..plans.stored_checks import models_of_days, store_all_states, store_states, stored_results
+from ..sources import daytable
 from ..sources.catalogue import district_aliases, districts
 from ..sources.lake import replace_days
 from ..sources.scratch import new_folder
@@ -373,3 +376,23 @@ def _checks_sql() -> str:
 def all_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of the 41 declared checks on the derived tables; the zone check fails there."""
     return run_checks(declared_checks(models(spark, sf_dir, keep_staged=True)))
+
+
+@query("checks_of_stored_days", _checks_sql())
+def checks_of_stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all days but three, then of those three and the days they touch; merged they equal the checks of all days."""
+    visits, air, area, names = (f(spark, sf_dir) for f in (raw_visits, raw_air, places, spellings))
+    late = [dt.date(2024, 1, d) for d in (4, 5, 20)]
+    first = build_models(
+        visits.where(~F.col("fecha_atencion").isin(late)), air.where(~F.col("fecha").isin(late)), area, names, keep_staged=True
+    )
+    mart, states = new_folder(spark, "mart"), new_folder(spark, "states")
+    first.fact.write.partitionBy("fecha").parquet(mart)
+    first = replace(first, fact=daytable.read(spark, mart, "fecha", first.fact.schema))
+    store_all_states(first, states)
+    rows, touched = refreshed_rows(visits, air, first.fact, late, area, names)
+    daytable.replace_days(rows, mart, "fecha", touched)
+    changed = spark.createDataFrame([(d,) for d in late], "fecha date")
+    now = daytable.read(spark, mart, "fecha", first.fact.schema)
+    store_states(models_of_days(visits, air, now, late, touched, area, names), states, changed, touched)
+    return stored_results(spark, states, area, names)
