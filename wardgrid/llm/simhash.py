@@ -11,7 +11,7 @@ a choice of one more block out of more, which again every pair shares somewhere.
 
 Defined cases: null text is empty; a text without words has the fingerprint of zeros; the edited text of an
 empty text is empty; the last document is followed by the first, a single one by itself; rows without
-doc_id come last, rows that share one stand in the order of their texts; other columns do no harm; empty tables give no rows.
+doc_id come last, rows that share one (or none) stand in the order of a hash of their texts, however many they are in several tasks; other columns do no harm; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from . import seqhash
 from .repeats import staged
 
 BITS = 128
+#: Bytes of text that a block holds at most, on average.
+BLOCK = 64 << 20
 _U = np.uint64
 _BYTES = BITS // 8
 _TABLE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64) * 2 - 1
@@ -87,49 +89,85 @@ _RESULT = (
 )
 
 
-def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
-    """Every document in a block of descending doc_ids, with the first document of the next block at its end.
+def _blocks(docs: DataFrame) -> int:
+    """Twice the shuffle partitions, more where that would give blocks of over ``BLOCK`` bytes."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
 
-    Only ``blocks`` boundaries come to the driver; texts are shuffled once.
+
+def _numbered(docs: DataFrame, blocks: int) -> DataFrame:
+    """Rows with ``block``, a number that ascends in the order of rows: doc_id descending, none last, then the hash of the text.
+
+    A doc_id (or none) that several of ``blocks`` equal shares would cut is dealt by hash into as many blocks.
+    """
+    rows, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    cuts = docs.where("doc_id is not null").approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.5 / blocks) if blocks > 1 and known else []
+    bounds = sorted({int(c) for c in cuts})
+    hot = {c: n for c in bounds if (n := sum(int(x) == c for x in cuts)) > 1}
+    shares = max([-(-blocks * (rows - known) // max(rows, 1)), *hot.values(), 1])
+    above = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda cut: F.col("doc_id") >= cut)) if bounds else F.lit(0)
+    # the hash is uniform: equal stretches of its upper half are equal shares of the rows
+    stretch = F.shiftright((F.shiftright("hash", 32) + F.lit(1 << 31)) * F.lit(shares), 32)
+    split = F.col("doc_id").isNull() | (F.col("doc_id").isin(*hot) if hot else F.lit(False))
+    main = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - above).cast("long")
+    return docs.withColumn("block", main * F.lit(shares + 1) + F.when(split, stretch + 1).otherwise(F.lit(0)))
+
+
+def _dealt(docs: DataFrame, blocks: int | None) -> DataFrame:
+    """Every document in a block of neighbouring rows, with the first row of the next block at its end.
+
+    Only the first row's doc_id and hash of each block come to the driver; texts are shuffled once. ``times`` counts rows that
+    are equal: of more than two, one stands for all but the last, as each of them is followed by its like.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = docs.where("doc_id is not null")
-    cuts = sorted(set(known.approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.5 / blocks))) if blocks > 1 else []
-    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: F.col("doc_id") >= cut)) if cuts else F.lit(0)
-    numbered = docs.withColumn("block", F.coalesce(F.lit(len(cuts)) - number, F.lit(len(cuts) + 1)).cast("int"))
-    numbered = numbered.withColumn("block", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.col("block")))
-    heads = numbered.groupBy("block").agg(F.max("doc_id").alias("head")).collect()  # one row per block
-    heads = sorted((r["block"], r["head"]) for r in heads)
+    docs = _two_of_equal(docs.withColumn("hash", F.xxhash64("text")))
+    numbered = _numbered(docs, blocks or _blocks(docs))
+    first = F.max(F.struct("doc_id", F.bitwise_not("hash").alias("turned"))).alias("first")
+    heads = sorted(numbered.groupBy("block").agg(first).select("block", "first.*").collect(), key=lambda r: r["block"])  # one row per block
+    columns = ["block", "borrowed", "times", "doc_id", "hash", "text"]
     if not heads:
-        return numbered.withColumn("borrowed", F.lit(False))
+        return numbered.withColumn("borrowed", F.lit(False)).select(*columns)
     # the head of each block also closes the block before it; the first head closes the last block
-    closes = [(head, block, heads[i - 1][0]) for i, (block, head) in enumerate(heads)]
-    end = docs.sparkSession.createDataFrame(closes, "head long, from_block int, block int")
-    borrowed = numbered.alias("d").join(
-        F.broadcast(end).alias("e"), F.col("d.doc_id").eqNullSafe(F.col("e.head")) & (F.col("d.block") == F.col("e.from_block"))
-    ).select("d.doc_id", "d.text", "e.block", F.lit(True).alias("borrowed"))
-    rows = numbered.select("doc_id", "text", "block", F.lit(False).alias("borrowed")).unionByName(borrowed)
+    closes = [(r["doc_id"], ~r["turned"], r["block"], heads[i - 1]["block"]) for i, r in enumerate(heads)]
+    end = docs.sparkSession.createDataFrame(closes, "head long, head_hash long, from_block long, closed long")
+    same = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash")) & (F.col("block") == F.col("from_block"))
+    borrowed = numbered.join(F.broadcast(end), same).groupBy(F.col("closed").alias("block")).agg(F.min("text").alias("text"))
+    borrowed = borrowed.withColumns({"borrowed": F.lit(True), "times": F.lit(1).cast("long"), "doc_id": F.lit(None).cast("long"), "hash": F.lit(0).cast("long")})
+    rows = numbered.withColumn("borrowed", F.lit(False)).select(*columns).unionByName(borrowed.select(*columns))
     return rows.repartition(len(heads), "block").sortWithinPartitions(
-        "block", "borrowed", F.col("doc_id").desc_nulls_last(), "text"
+        "block", "borrowed", F.col("doc_id").desc_nulls_last(), "hash", "text", F.col("times").desc()
     )
 
 
+def _two_of_equal(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``times``; of more than two rows equal in doc_id and text, one with all but one of them and one more."""
+    mark = F.xxhash64(F.lit(1), "text")
+    many = staged(docs.groupBy("doc_id", "hash", mark.alias("mark")).agg(F.count(F.lit(1)).alias("n")).where("n > 2"), "simhash-equal")
+    if many.isEmpty():
+        return docs.withColumn("times", F.lit(1).cast("long"))
+    docs, many = docs.withColumn("mark", mark).alias("d"), many.alias("m")
+    equal = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.hash") == F.col("m.hash")) & (F.col("d.mark") == F.col("m.mark"))
+    few = docs.join(many, equal, "left_anti").select("doc_id", "text", "hash", F.lit(1).cast("long").alias("times"))
+    one = docs.join(many, equal).select("d.*", "m.n").groupBy("doc_id", "hash", "mark").agg(F.first("text").alias("text"), F.max("n").alias("n"))
+    two = one.select("doc_id", "text", "hash", F.explode(F.array(F.col("n") - 1, F.lit(1).cast("long"))).alias("times"))
+    return few.unionByName(staged(two, "simhash-two-of-equal"))
+
+
 def edited_fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """Per document its fingerprint, that of its text with a second half from the next document, and likenesses.
 
     The next document is the next lower doc_id; after the last comes the first.
     """
-    blocks = blocks or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []  # the rows from the last batch that still miss their next one
         for batch in batches:
-            rows = waiting + list(zip(*(batch[c].to_pylist() for c in ("block", "borrowed", "doc_id", "text")), strict=True))
+            rows = waiting + list(zip(*(batch[c].to_pylist() for c in ("times", "borrowed", "doc_id", "text")), strict=True))
             for low in range(0, len(rows) - 1, 500):
                 yield _compared(rows[low : low + 501])
             waiting = rows[-1:]
 
-    return _dealt(docs, blocks).select("block", "borrowed", "doc_id", "text").mapInArrow(compare, _RESULT)
+    found = _dealt(docs, blocks).select("times", "borrowed", "doc_id", "text").mapInArrow(compare, f"{_RESULT}, times long")
+    return found.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("_", "times")
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
@@ -150,8 +188,9 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
         pa.array([c.tobytes().hex() for c in changed], pa.string()),
         pa.array(likeness(plain[at], changed), pa.float64()),
         pa.array(likeness(plain[at], plain[at + 1]), pa.float64()),
+        pa.array([rows[i][0] for i in own], pa.int64()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _RESULT.split(", ")])
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in f"{_RESULT}, times".split(", ")])
 
 
 def within_radius(prints: DataFrame, radius: int = 3, extra: int = 2, crowd: int = 64) -> DataFrame:
