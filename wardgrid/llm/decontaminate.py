@@ -120,19 +120,24 @@ def _item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
 
 
 def _bitmap(item_seeds: DataFrame) -> np.ndarray:
-    """Bits of all seeds; the driver gets at most 2**BITMAP_BITS / 64 numbers."""
+    """Bits of all seeds, eight to a byte; the driver gets at most 2**BITMAP_BITS / 64 numbers."""
     slot = F.shiftrightunsigned("seed", 64 - BITMAP_BITS)
     words_ = item_seeds.select(F.shiftright(slot, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - BITMAP_BITS}) & 63 as int))").alias("bit"))
     table = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
     for r in words_.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
         table[r["word"]] = r["bits"]
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    return table.astype("<i8").view(np.uint8)
+
+
+def _in_bitmap(bits: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    slot = seed >> _U(64 - BITMAP_BITS)
+    return (bits[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1
 
 
 _STRETCH = "doc_id long, doc long, mark long, base int, words binary, seed array<long>, place array<int>"
 
 
-def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int]) -> DataFrame:
+def _stretches(docs: DataFrame, bitmap: np.ndarray, reach: int, short: list[int]) -> DataFrame:
     """Words around the seeds that the bitmap lets through, one row per stretch without a gap."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -143,7 +148,7 @@ def _stretches(docs: DataFrame, bitmap: DataFrame, reach: int, short: list[int])
             for row, data, at in seqhash.slices(batch["text"]):
                 values, before = words(data, at)
                 text, place, h = seeds(values, before, short, False)
-                hit = bits[(h >> _U(64 - BITMAP_BITS)).astype(np.int64)]
+                hit = _in_bitmap(bits, h)
                 text, place, h = text[hit], place[hit], h[hit]
                 order = np.lexsort((place, text))
                 text, place, h = text[order], place[order], h[order]

@@ -105,16 +105,26 @@ def bodies(alive: DataFrame) -> DataFrame:
 
 
 def whole_runs(alive: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
-    """Spans of the runs whose body stands more than once: every window in them does."""
-    twice = distinct.where("n > 1").select("part", "body")
-    return alive.join(twice, ["part", "body"], "left_semi").select(
-        "doc", "mark", "low", (F.col("high") + window).alias("end")
-    )
+    """doc, mark, spans of the runs whose body stands more than once: every window in them does.
+
+    A part with one body has it in all of its runs, which are more than one. Only runs of the other parts are joined, as
+    one row for each body in a document, so a line that stands very often in a document meets its count once.
+    """
+    span = F.struct("low", (F.col("high") + window).alias("end"))
+    twice = distinct.where("several and n > 1").select("part", "body")
+    own = alive.where("several").groupBy("doc", "mark", "part", "body").agg(F.collect_list(span).alias("spans"))
+    joined = own.join(twice, ["part", "body"], "left_semi").select("doc", "mark", "spans")
+    return alive.where("not several").select("doc", "mark", F.array(span).alias("spans")).unionByName(joined)
+
+
+def single(spans: DataFrame) -> DataFrame:
+    """Rows (doc, mark, low, end) as rows of one span each."""
+    return spans.select("doc", "mark", F.array(F.struct("low", "end")).alias("spans"))
 
 
 def by_document(spans: DataFrame) -> DataFrame:
     """All spans of a document in one row, those of equal rows once; bounded by the length of the document."""
-    return spans.groupBy("doc", "mark").agg(F.collect_set(F.struct("low", "end")).alias("spans"))
+    return spans.groupBy("doc", "mark").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def covered(length: int, spans) -> np.ndarray:

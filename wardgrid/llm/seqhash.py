@@ -1,7 +1,8 @@
 """Hashes of many words and windows at once, as numpy arrays over whole batches.
 
 Everything here is plain arithmetic modulo 2**64 on arrays of one slice of a batch;
-memory is bounded by ``SLICE`` elements whatever the length of a text.
+memory is bounded by ``SLICE`` elements whatever the length of a text. What a worker keeps
+between slices is one pair of tables of at most ``KEPT`` powers.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ import pyarrow as pa
 #: Elements handled at once; positions inside a slice fit into POSITION_BITS.
 SLICE = 1 << 19
 POSITION_BITS = 20
+#: Bytes of words that are hashed at once.
+WORDS_SLICE = SLICE >> 2
+#: Powers that a worker keeps; longer tables last as long as what needs them.
+KEPT = 2 * SLICE
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -35,24 +40,30 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse."""
-    up, down = np.empty(n, _U), np.empty(n, _U)
-    up[0] = down[0] = 1
-    up[1:], down[1:] = _U(_BASE), _U(pow(_BASE, -1, 1 << 64))
-    return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+_NO_POWERS = (np.empty(0, _U), np.empty(0, _U))
+_POWERS = _NO_POWERS
 
 
-def _room(n: int) -> int:
-    return 1 << max(12, int(n).bit_length())
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse; shorter tables are the beginning of the one that is kept."""
+    global _POWERS
+    found = _POWERS
+    if len(found[0]) < n:
+        room = 1 << max(12, (n - 1).bit_length())
+        up, down = np.empty(room, _U), np.empty(room, _U)
+        up[0] = down[0] = 1
+        up[1:], down[1:] = _U(_BASE), _U(pow(_BASE, -1, 1 << 64))
+        found = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+        if room <= KEPT:
+            _POWERS = found
+    return found
 
 
 class Rolling:
     """Hashes of any stretch of one slice of elements."""
 
     def __init__(self, values: np.ndarray):
-        self.up, down = _powers(_room(len(values) + 1))
+        self.up, down = _powers(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, _U)
         np.cumsum(values * down[: len(values)], dtype=_U, out=self.sums[1:])
 
@@ -126,7 +137,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out = np.empty(len(starts), _U)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + 2 * SLICE, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + WORDS_SLICE, "right")))
         low = starts[i]
         out[i:j] = Rolling(byte_values(data[low : ends[j - 1]])).stretch(starts[i:j] - low, ends[i:j] - low)
         i = j

@@ -38,7 +38,7 @@ _SPAN = "doc long, mark long, low int, end int"
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc, mark, low, end: stretches covered by a string of ``length`` bytes that also starts elsewhere."""
+    """doc, mark, spans (low, end): stretches covered by a string of ``length`` bytes that also starts elsewhere."""
     texts = repeats.searched(docs)
     found = repeats.staged(repeats.runs(texts, repeats.bytes_of, length, min(PART, length)), "runs")
     alive = repeats.staged(repeats.with_repeated_part(found), "alive")
@@ -63,8 +63,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     return (
         repeats.whole_runs(alive, distinct, length)
-        .unionByName(met)
-        .unionByName(_by_counting(brought.where("crowded"), length))
+        .unionByName(repeats.single(met))
+        .unionByName(repeats.single(_by_counting(brought.where("crowded"), length)))
     )
 
 

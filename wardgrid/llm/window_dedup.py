@@ -65,7 +65,7 @@ def _stretches(texts: DataFrame, alive: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc, mark, low, end: words covered by a window of ``window`` words that also starts elsewhere."""
+    """doc, mark, spans (low, end): words covered by a window of ``window`` words that also starts elsewhere."""
     short, long = levels(window)
     texts = repeats.searched(docs)
     found = repeats.staged(repeats.runs(texts, repeats.words_of, window, short), "level1")
@@ -85,7 +85,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return n.tolist(), [doc] * len(low), [mark] * len(low), low.tolist(), bodies
 
     last = repeats.staged(repeats.pieces(stretches, wanted, cut, _BODY), "last")
-    return repeats.whole_runs(alive, distinct, window).unionByName(_counted(last, window))
+    return repeats.whole_runs(alive, distinct, window).unionByName(repeats.single(_counted(last, window)))
 
 
 def _counted(bodies: DataFrame, window: int) -> DataFrame:
