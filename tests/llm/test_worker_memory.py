@@ -1,5 +1,7 @@
 """What a Python worker keeps between tasks, and how many rows meet, do not follow how long or how common texts are."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -76,6 +78,14 @@ def test_runs_that_are_joined_to_counts(session):
     assert sorted(r["doc"] for r in without_counts.collect()) == list(range(500))
 
 
+def test_many_spans_of_a_document_take_time_in_proportion(session):
+    """150,000 spans of one document, each from both of two equal rows, come once and without comparing each with each."""
+    spans = session.range(300_000).selectExpr("1L as doc", "2L as mark", "cast(id % 150000 as int) as low", "cast(id % 150000 + 35 as int) as end")
+    began = time.monotonic()
+    assert repeats.by_document(repeats.single(spans)).select(F.size("spans")).collect() == [(150_000,)]
+    assert time.monotonic() - began < 30
+
+
 def test_common_passage_is_removed_from_every_document(session):
     passage = " ".join(f"p{i}" for i in range(60))
     own = lambda i, k: " ".join(f"d{i}x{j}y{k}" for j in range(20))

@@ -112,7 +112,7 @@ def whole_runs(alive: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
     """
     span = F.struct("low", (F.col("high") + window).alias("end"))
     twice = distinct.where("several and n > 1").select("part", "body")
-    own = alive.where("several").groupBy("doc", "mark", "part", "body").agg(F.collect_list(span).alias("spans"))
+    own = alive.where("several").groupBy("doc", "mark", "part", "body").agg(F.collect_set(span).alias("spans"))
     joined = own.join(twice, ["part", "body"], "left_semi").select("doc", "mark", "spans")
     return alive.where("not several").select("doc", "mark", F.array(span).alias("spans")).unionByName(joined)
 
@@ -124,7 +124,7 @@ def single(spans: DataFrame) -> DataFrame:
 
 def by_document(spans: DataFrame) -> DataFrame:
     """All spans of a document in one row, those of equal rows once; bounded by the length of the document."""
-    return spans.groupBy("doc", "mark").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return spans.groupBy("doc", "mark").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def covered(length: int, spans) -> np.ndarray:
